@@ -114,7 +114,7 @@ def drop_repeated_lines(docs: DataFrame, positions: DataFrame, id_col: str = "do
     lines = F.split("_t", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("gone"))
     kept_text = F.when(F.col("gone").isNull(), F.col("_t")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
-    out = keyed.join(gone, ["_id", "_th"], "left").withColumn("_lines", lines)
+    out = keyed.join(gone.hint("merge"), ["_id", "_th"], "left").withColumn("_lines", lines)
     return out.select(
         *[(kept_text if c == text_col else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns],
         F.size("_lines").cast("long").alias("_n_lines"),
