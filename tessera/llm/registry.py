@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import licenses, line_dedup
+from tessera.llm import licenses, line_dedup, media, packing, wavelet
 
 QUERIES = {
+    "op1_media_columns": media.op1_media_columns,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op4_wavelet_tokens": wavelet.op4_wavelet_tokens,
+    "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op10_license_scan": licenses.op10_license_scan,
 }
 
