@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tessera.llm import licenses, line_dedup, media, packing, wavelet
+from tessera.llm import langid, licenses, line_dedup, media, mixing, packing, wavelet
 
 QUERIES = {
     "op1_media_columns": media.op1_media_columns,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_language_id": langid.op3_language_id,
     "op4_wavelet_tokens": wavelet.op4_wavelet_tokens,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op9_source_mixing": mixing.op9_source_mixing,
     "op10_license_scan": licenses.op10_license_scan,
 }
 
