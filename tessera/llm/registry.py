@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import langid, licenses, line_dedup, media, mixing, ngram_join, packing, wavelet
+from tessera.llm import langid, licenses, line_dedup, media, mixing, ngram_join, packing, substring_dedup, wavelet
 
 QUERIES = {
     "op1_media_columns": media.op1_media_columns,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_language_id": langid.op3_language_id,
     "op4_wavelet_tokens": wavelet.op4_wavelet_tokens,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_ngram_jaccard_join": ngram_join.op7_ngram_jaccard_join,
     "op9_source_mixing": mixing.op9_source_mixing,
     "op10_license_scan": licenses.op10_license_scan,
