@@ -44,7 +44,7 @@ PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pieces of every document, each with its rank among those of its length in its partition."""
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], np.uint32)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, pid, seen = encoder(tokenizer), TaskContext.get().partitionId(), [0] * (capacity + 1)
@@ -53,12 +53,12 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
             for a, b in slices(texts):
                 rows: list[tuple] = []
                 for key, ids in zip(keys[a:b], enc.encode(texts[a:b])):
-                    ids = memoryview(ids + end)
-                    n = len(ids) // 4
+                    ids = np.append(ids, end).astype("<u4")
+                    n = len(ids)
                     start, piece = 0, 0
                     while start < n:
                         length = (n - start) % capacity or capacity
-                        rows.append((key, piece, start, length, zlib.crc32(ids[start * 4 : (start + length) * 4]), pid, seen[length]))
+                        rows.append((key, piece, start, length, zlib.crc32(ids[start : start + length]), pid, seen[length]))
                         seen[length] += 1
                         start, piece = start + length, piece + 1
                 if rows:

@@ -169,7 +169,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
 
     fs, path = pyarrow.fs.FileSystem.from_uri(folder)
     fs.create_dir(path, recursive=True)
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], np.uint32)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.fs  # noqa: F401
@@ -181,19 +181,19 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
         def flush() -> None:
             nonlocal base, seq, held, ids, counts, blobs
             if ids:
-                _put(folder, f"p{pid:06d}-{seq:06d}.wm", pack_shard(ids, counts, np.frombuffer(b"".join(blobs), "<u4"), bits, pid=pid, base=base))
+                _put(folder, f"p{pid:06d}-{seq:06d}.wm", pack_shard(ids, counts, np.concatenate(blobs), bits, pid=pid, base=base))
                 base, seq, held, ids, counts, blobs = base + held, seq + 1, 0, [], [], []
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices(texts):
                 for key, got in zip(keys[a:b], enc.encode(texts[a:b])):
-                    n = len(got) // 4 + 1
+                    n = len(got) + 1
                     if held and held + n > shard_tokens:
                         flush()
                     ids.append(key)
                     counts.append(n)
-                    blobs.append(got + end)
+                    blobs += [got, end]
                     held += n
         flush()
         yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([base], pa.int64())], ["pid", "n_tokens"])
