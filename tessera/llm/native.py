@@ -28,3 +28,8 @@ def lower_ascii(col: Column) -> Column:
     return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(
         F.translate(col, string.ascii_uppercase, string.ascii_lowercase)
     )
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small reference table from literals; ``rows`` must not be empty."""
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows])))
