@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.native import documents, text_or_empty
+from tessera.llm.native import documents, literal_table, text_or_empty
 
 #: Known texts up to this many rows are broadcast.
 BROADCAST_ROWS = 20_000
@@ -91,7 +91,7 @@ def canonical_lines(text: Column) -> Column:
 
 def known_table(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
     """(license_id, digest) of known texts."""
-    rows = spark.createDataFrame(sorted(texts.items()), "license_id string, known_text string")
+    rows = literal_table(spark, sorted(texts.items()), ["license_id", "known_text"])
     return rows.select("license_id", F.sha2(F.array_join(canonical_lines(F.col("known_text")), " "), 256).alias("digest"))
 
 
@@ -107,7 +107,7 @@ def scan(docs: DataFrame, text_col: str = "text", known: DataFrame | None = None
     if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
     notices = NOTICES if notices is None else notices
-    forms = {r["n"]: r["c"] for r in spark.createDataFrame(sorted(notices.items()), "n string, t string").select("n", F.array_join(canonical_lines(F.col("t")), " ").alias("c")).collect()}
+    forms = {r["n"]: r["c"] for r in literal_table(spark, sorted(notices.items()), ["n", "t"]).select("n", F.array_join(canonical_lines(F.col("t")), " ").alias("c")).collect()}
     by_form = F.create_map(*[F.lit(x) for n, c in forms.items() for x in (c, n)])
     kept = [c for c in docs.columns if c not in ("canonical_digest", "n_words", "license_id", "notice_ids")]
     out = docs.select(*[F.col(f"`{c}`") for c in kept], canonical_lines(text_or_empty(text_col)).alias("_lines"))
