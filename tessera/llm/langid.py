@@ -176,8 +176,8 @@ def predict(text: Column, model: Model | None) -> Column:
 def detect(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score, which replace columns of those names."""
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    out = docs.select(*[F.col(f"`{c}`") for c in kept], predict(F.col(f"`{text_col}`"), model).alias("_p"))
-    return out.select(*[F.col(f"`{c}`") for c in kept], F.col("_p.lang").alias("lang_pred"), F.col("_p.score").alias("score"))
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), predict(F.col(f"`{text_col}`"), model).alias("_p"))
+    return out.select("_row.*", F.col("_p.lang").alias("lang_pred"), F.col("_p.score").alias("score"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,24 +103,26 @@ def scan(docs: DataFrame, text_col: str = "text", known: DataFrame | None = None
     """
     spark = docs.sparkSession
     known = known_table(spark, LICENSES) if known is None else known
-    known = known.groupBy("digest").agg(F.min("license_id").alias("_license_id"))
+    known = known.groupBy(F.col("digest").alias("_digest")).agg(F.min("license_id").alias("_license_id"))
     if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
     notices = NOTICES if notices is None else notices
     forms = {r["n"]: r["c"] for r in literal_table(spark, sorted(notices.items()), ["n", "t"]).select("n", F.array_join(canonical_lines(F.col("t")), " ").alias("c")).collect()}
     by_form = F.create_map(*[F.lit(x) for n, c in forms.items() for x in (c, n)])
+    # The row travels as one column, so that its names meet none of ours.
     kept = [c for c in docs.columns if c not in ("canonical_digest", "n_words", "license_id", "notice_ids")]
-    out = docs.select(*[F.col(f"`{c}`") for c in kept], canonical_lines(text_or_empty(text_col)).alias("_lines"))
+    row = F.struct(*[F.col(f"`{c}`") for c in kept])
+    out = docs.select(row.alias("_row"), canonical_lines(text_or_empty(F.col(f"`{text_col}`"))).alias("_lines"))
     form = F.array_join("_lines", " ")
     found = F.array_intersect("_lines", F.array(*[F.lit(c) for c in forms.values()]))
     out = out.select(
-        *[F.col(f"`{c}`") for c in kept],
+        "_row",
         F.sha2(form, 256).alias("canonical_digest"),
         F.when(form == "", F.lit(0)).otherwise(F.char_length(form) - F.char_length(F.replace(form, F.lit(" "), F.lit(""))) + 1).cast("long").alias("n_words"),
         F.array_join(F.sort_array(F.transform(found, lambda x: F.element_at(by_form, x))), ",").alias("notice_ids"),
     )
-    joined = out.join(known, (out.canonical_digest == known.digest) & (out.n_words > 0), "left")
-    return joined.select(*[F.col(f"`{c}`") for c in kept], "canonical_digest", "n_words", F.col("_license_id").alias("license_id"), "notice_ids")
+    joined = out.join(known, (F.col("canonical_digest") == F.col("_digest")) & (F.col("n_words") > 0), "left")
+    return joined.select("_row.*", "canonical_digest", "n_words", F.col("_license_id").alias("license_id"), "notice_ids")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

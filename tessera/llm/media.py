@@ -175,15 +175,14 @@ _PROBE = pa.struct([("codec", pa.string()), ("duration_s", pa.float64()), ("n_sa
 
 
 def probe(df: DataFrame, media_col: str = "media") -> DataFrame:
-    """``df`` without its other columns' cost: the file's description replaces the media column."""
-    from pyspark.sql.functions import arrow_udf
+    """``df`` with the file's description (codec, duration_s, n_samples, key_frames) in place of the media column."""
 
-    @arrow_udf("codec string, duration_s double, n_samples long, key_frames array<struct<offset:long,size:long>>")
+    @F.arrow_udf("codec string, duration_s double, n_samples long, key_frames array<struct<offset:long,size:long>>")
     def look(files: pa.Array) -> pa.Array:
         return pa.array([describe(x.as_py() or b"") for x in files], _PROBE)
 
-    kept = [F.col(f"`{c}`") for c in df.columns if c != media_col]
-    return df.select(*kept, look(F.col(f"`{media_col}`")).alias("_probe")).select(*kept, "_probe.*")
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in (media_col, *(f.name for f in _PROBE))]
+    return df.select(F.struct(*kept).alias("_row"), look(F.col(f"`{media_col}`")).alias("_probe")).select("_row.*", "_probe.*")
 
 
 def encode_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
