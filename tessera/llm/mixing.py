@@ -24,11 +24,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.native import documents, text_or_empty
+from tessera.workspace import materialize, release
 
+SEED = 17
 BLOCK_DOCS = 512
 MAX_BLOCKS = 65_536
 MAX_REPEAT = 3
@@ -87,26 +90,33 @@ class MixPlan:
     seed: int
 
 
-def _keyed(docs: DataFrame, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return docs.select(F.col(f"`{source_col}`").cast("string").alias("_source"), word_count(text_or_empty(text_col)).alias("_size"), F.xxhash64(F.lit(seed), F.col(f"`{id_col}`").cast("long")).alias("_key"))
+def keyed(docs: DataFrame, seed: int, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """(_row, _source, _size, _key): each row with what decides its draws."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("_row"), F.col(f"`{source_col}`").cast("string").alias("_source"), word_count(text_or_empty(F.col(f"`{text_col}`"))).alias("_size"), F.xxhash64(F.lit(seed), F.col(f"`{id_col}`").cast("long")).alias("_key"))
+
+
+def _table(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
+    cols = zip(*rows) if rows else [[]] * len(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema))
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def plan_mix(docs: DataFrame, shards: int = 32, seed: int = 17, weights=cycle_weights, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> MixPlan:
-    spark = docs.sparkSession
-    keyed = _keyed(docs, seed, id_col, text_col, source_col)
-    found = keyed.groupBy("_source").agg(F.sum("_size").alias("words"), F.count("*").alias("docs")).collect()
+def plan_mix(rows: DataFrame, shards: int = 32, seed: int = SEED, weights=cycle_weights) -> MixPlan:
+    """The plan for rows of :func:`keyed`, which are read several times."""
+    spark = rows.sparkSession
+    found = rows.groupBy("_source").agg(F.sum("_size").alias("words"), F.count("*").alias("docs")).collect()
     found.sort(key=lambda r: (r._source is None, r._source or ""))
     sizes = [r.words for r in found]
     targets = water_fill(sizes, weights(len(found)))
     scale = max(1.0, sum(r.docs for r in found) / BLOCK_DOCS / MAX_BLOCKS)
     n_blocks = [max(1, round(r.docs / BLOCK_DOCS / scale)) for r in found]
-    schema = "source string, idx int, source_size long, target double, n_blocks int"
-    sources = _small(spark.createDataFrame([(r._source, i, sizes[i], targets[i], n_blocks[i]) for i, r in enumerate(found)], schema), len(found))
-    placed = _place(keyed, sources)
+    schema = pa.schema([("source", pa.string()), ("idx", pa.int32()), ("source_size", pa.int64()), ("target", pa.float64()), ("n_blocks", pa.int32())])
+    sources = _small(_table(spark, [(r._source, i, sizes[i], targets[i], n_blocks[i]) for i, r in enumerate(found)], schema), len(found))
+    placed = _place(rows, sources)
     words: list[np.ndarray] = [np.zeros(n, np.int64) for n in n_blocks]
     for r in placed.groupBy("idx", "_block").agg(F.sum("_size").alias("words")).collect():
         words[r.idx][r._block] = r.words
@@ -128,9 +138,9 @@ def plan_mix(docs: DataFrame, shards: int = 32, seed: int = 17, weights=cycle_we
     if cut:
         from pyspark.sql import Window
 
-        edge = _small(spark.createDataFrame(cut, "idx int, _block int, words_left double"), len(cut))
-        rows = placed.join(edge, ["idx", "_block"]).withColumn("_upto", F.sum("_size").over(Window.partitionBy("idx").orderBy("_key")))
-        best = rows.where(F.col("_upto") - F.col("_size") / 2 <= F.col("words_left")).groupBy("idx", "_block").agg(F.max("_key").alias("k"))
+        edge = _small(_table(spark, cut, pa.schema([("idx", pa.int32()), ("_block", pa.int32()), ("words_left", pa.float64())])), len(cut))
+        near = placed.join(edge, ["idx", "_block"]).withColumn("_upto", F.sum("_size").over(Window.partitionBy("idx").orderBy("_key")))
+        best = near.where(F.col("_upto") - F.col("_size") / 2 <= F.col("words_left")).groupBy("idx", "_block").agg(F.max("_key").alias("k"))
         limits = {r.idx: (r._block, r.k) for r in best.collect()}
 
     quotas = np.array([whole[i] * len(orders[i]) + rest[i] + (i in limits) for i in range(len(found))], np.int64)
@@ -145,33 +155,38 @@ def plan_mix(docs: DataFrame, shards: int = 32, seed: int = 17, weights=cycle_we
             else:
                 block, upto_key = int(orders[i][u % n]), None
             units.setdefault((i, block), []).append((int(to[u]), u // n, upto_key))
-    table = spark.createDataFrame([(i, b, d) for (i, b), d in units.items()], "idx int, _block int, draws array<struct<shard:int,turn:int,upto:bigint>>")
+    draw = pa.struct([("shard", pa.int32()), ("turn", pa.int32()), ("upto", pa.int64())])
+    rows_ = [(i, b, [dict(zip(("shard", "turn", "upto"), x)) for x in d]) for (i, b), d in units.items()]
+    table = _table(spark, rows_, pa.schema([("idx", pa.int32()), ("_block", pa.int32()), ("draws", pa.list_(draw))]))
     return MixPlan(sources, _small(table, len(units)), shards, seed)
 
 
-def _place(keyed: DataFrame, sources: DataFrame) -> DataFrame:
-    met = keyed.join(sources, keyed._source.eqNullSafe(sources.source))
+def _place(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    met = rows.join(sources, rows._source.eqNullSafe(sources.source))
     return met.withColumn("_block", F.pmod("_key", F.col("n_blocks")).cast("int"))
 
 
-def draws(docs: DataFrame, plan: MixPlan, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(_row, _size, source_size, target, _key, _draws): each row of ``docs`` with the draws that take it."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    keyed = docs.select(row, F.col(f"`{source_col}`").cast("string").alias("_source"), word_count(text_or_empty(text_col)).alias("_size"), F.xxhash64(F.lit(plan.seed), F.col(f"`{id_col}`").cast("long")).alias("_key"))
-    met = _place(keyed, plan.sources).join(plan.units, ["idx", "_block"], "left")
+def draws(rows: DataFrame, plan: MixPlan) -> DataFrame:
+    """(_row, _size, source_size, target, _key, _draws): rows of :func:`keyed` with the draws that take them."""
+    met = _place(rows, plan.sources).join(plan.units, ["idx", "_block"], "left")
     taken = F.filter("draws", lambda d: d["upto"].isNull() | (F.col("_key") <= d["upto"]))
     return met.select("_row", "_size", "source_size", "target", "_key", F.when(F.col("_size") > 0, taken).alias("_draws"))
 
 
-def mix(docs: DataFrame, shards: int = 32, seed: int = 17, weights=cycle_weights) -> DataFrame:
+def mix(docs: DataFrame, shards: int = 32, seed: int = SEED, weights=cycle_weights) -> DataFrame:
     """The columns of ``docs``, a row for each draw, partitioned by shard and shuffled within it."""
-    plan = plan_mix(docs, shards, seed, weights)
-    drawn = draws(docs, plan).select("_row", "_key", F.explode("_draws").alias("_d"))
+    rows = keyed(docs, seed)
+    slim = materialize(rows.drop("_row"), "sizes")
+    plan = plan_mix(slim, shards, seed, weights)
+    release(slim)
+    drawn = draws(rows, plan).select("_row", "_key", F.explode("_draws").alias("_d"))
     drawn = drawn.withColumn("_order", F.xxhash64(F.lit(seed + 1), "_key", "_d.turn"))
     return drawn.repartition(shards, "_d.shard").sortWithinPartitions("_d.shard", "_order").select("_row.*")
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "source", "text")
-    rows = draws(docs, plan_mix(docs))
-    return rows.select("_row.doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.coalesce(F.size("_draws"), F.lit(0))).cast("long").alias("taken"))
+    rows = keyed(docs, SEED).withColumn("_row", F.struct("_row.doc_id"))
+    rows = materialize(rows, "sizes")
+    out = draws(rows, plan_mix(rows, seed=SEED))
+    return out.select("_row.doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.coalesce(F.size("_draws"), F.lit(0))).cast("long").alias("taken"))

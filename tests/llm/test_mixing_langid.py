@@ -46,7 +46,8 @@ def check(rows, texts):
 def test_mix_meets_targets(spark, monkeypatch, blocks):
     monkeypatch.setattr(mixing, "BLOCK_DOCS", blocks)
     for docs in (fixtures.frame(spark), fixtures.small(spark)):
-        rows = mixing.draws(docs, mixing.plan_mix(docs))
+        keyed = mixing.keyed(docs, 17)
+        rows = mixing.draws(keyed, mixing.plan_mix(keyed))
         n = mixing.F
         out = rows.select("_row.doc_id", n.col("_size").alias("size"), "source_size", "target", (n.col("_size") * n.coalesce(n.size("_draws"), n.lit(0))).alias("taken"))
         got = out.collect()
@@ -56,8 +57,9 @@ def test_mix_meets_targets(spark, monkeypatch, blocks):
 
 def test_mix_rows_are_the_draws(spark):
     docs = fixtures.small(spark)
-    plan = mixing.plan_mix(docs, shards=5)
-    want = {r._row.doc_id: len(r._draws or []) for r in mixing.draws(docs, plan).collect()}
+    keyed = mixing.keyed(docs, 17)
+    plan = mixing.plan_mix(keyed, shards=5)
+    want = {r._row.doc_id: len(r._draws or []) for r in mixing.draws(keyed, plan).collect()}
     got: dict = {}
     mixed = mixing.mix(docs, shards=5)
     assert mixed.columns == docs.columns
