@@ -9,6 +9,7 @@ lineage of what is built on it.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import itertools
 import tempfile
 import uuid
@@ -16,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _roots: dict[str, str] = {}
 _serial = itertools.count()
 
@@ -45,6 +47,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{next(_serial):04d}-{name}"
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, size: str = "16m"):
+    """Bound the bytes of an Arrow batch while a table is written: rows may be texts or lists."""
+    old = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, size)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, old)
+
+
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader of it."""
     spark = df.sparkSession
@@ -52,7 +68,8 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    with small_batches(spark):
+        writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tessera_path = path
     return out
