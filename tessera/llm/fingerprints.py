@@ -191,14 +191,20 @@ def neighbours(docs: DataFrame) -> tuple[DataFrame, bool]:
 
 def _rows(docs: DataFrame, pairs: DataFrame, repeats: bool) -> DataFrame:
     """(k, th, rows, n_chars, edited_sha256, own, edit, next) of each distinct row, dealt by k."""
-    other = docs.select(F.col("k").alias("next_k"), "text")
+    # A text has many cells: its partitions are a quarter of the usual, so that their cells stay in memory.
+    # Both sides read one exchange of the texts.
+    n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if repeats:
-        other = other.groupBy("next_k").agg(F.min("text").alias("text"))
+        other = docs.groupBy(F.col("k").alias("next_k")).agg(F.min("text").alias("text"))
+        own = docs.groupBy("k", "text").agg(F.count("*").alias("rows")).repartition(n, "k")
+    else:
+        dealt = docs.repartition(n, "k")
+        other = dealt.select(F.col("k").alias("next_k"), "text")
+        own = dealt.withColumn("rows", F.lit(1).cast("long"))
     # What follows is cut to the part that can enter the edit before it moves.
     met = pairs.join(other.hint("merge"), "next_k")
     following = met.select("k", F.substring("text", F.lit(1), F.floor(F.col("n") / 2).cast("int")).alias("head"), digests(F.col("text")).alias("next"))
-    own = docs.groupBy("k", "text").agg(F.count("*").alias("rows")) if repeats else docs.withColumn("rows", F.lit(1).cast("long"))
-    both = own.hint("merge").join(following, "k").withColumn("changed", edited(F.col("text"), F.col("head")))
+    both = own.hint("merge").join(following.repartition(n, "k"), "k").withColumn("changed", edited(F.col("text"), F.col("head")))
     return both.select("k", F.xxhash64("text").alias("th"), "rows", F.char_length("text").alias("n_chars"), F.sha2("changed", 256).alias("edited_sha256"), digests(F.col("text")).alias("own"), digests(F.col("changed")).alias("edit"), "next")
 
 
