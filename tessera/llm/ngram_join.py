@@ -12,10 +12,12 @@
 3. The members of a bucket form tiles. In a tile, hashed bitmaps bound every
    overlap from above: each differing bit is at least one differing n-gram.
    What the bound leaves joins into coarse groups.
-4. A coarse group is cut into tiles by size band and, where it is large, by
-   hash. Each pair of tiles that can hold links is compared: bit counts first,
-   then exact intersections of the sorted arrays. Of the links found a tile
-   keeps a forest, never all pairs, so a group of copies costs its members.
+4. A small coarse group is one tile. A large one is compared with a few of its
+   own classes first, which ties most of it together; what is left is cut into
+   tiles by component, size band and hash, and tiles meet unless they are of one
+   component or their sizes forbid it. In a tile bit counts come first, then
+   exact intersections of the sorted arrays. Of the links found a tile keeps a
+   forest, never all pairs.
 5. Connected components of the forests give every document its class.
 
 Nothing is sampled or capped: a bucket or group of any size is cut into more
@@ -35,16 +37,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.components import components
-from tessera.llm.hashing import mix64, word_hashes
+from tessera.llm.hashing import lean, mix64, raw_slice, settle, word_hashes
 from tessera.llm.native import documents, text_or_empty
 from tessera.workspace import materialize, release
 
-#: Members of one side of a tile.
-TILE = 1024
+#: Members of one side of a tile of bitmaps.
+TILE = 512
+#: Places of the largest bitmaps.
+MAX_BITS = 1 << 11
+#: Classes of a large group that all its others are compared with first.
+PIVOTS = 32
+#: Bounds of one side of an exact tile: classes, and bytes of their arrays.
+EXACT_TILE = 8192
+EXACT_BYTES = 40_000_000
+#: Rows of a tile whose bit counts are compared at once.
+BLOCK = 256
 _U = np.uint64
 _MUL = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9), _U(0x27D4EB2F165667C5), _U(0xFF51AFD7ED558CCD))
 
@@ -97,7 +108,7 @@ def _bits(shingles: np.ndarray, size: int) -> bytes:
 
 
 def _bit_size(n: int) -> int:
-    return min(1 << 14, max(64, 1 << int(n).bit_length()))
+    return min(MAX_BITS, max(64, 1 << int(n).bit_length()))
 
 
 def _digest(shingles: np.ndarray) -> tuple[int, int]:
@@ -132,14 +143,15 @@ def shingle_sets(docs: DataFrame, join: Join, id_col: str, text_col: str) -> Dat
     """Of each text: kind 0 its class; kind 1 its signatures and kind 2 its bitmap, once for each class and batch."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         edges = join.edges()
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            raws = [x.as_buffer().to_pybytes() for x in batch.column(1).cast(pa.binary())]
-            for lo in range(0, len(ids), 1000):
+            texts = batch.column(1).cast(pa.binary())
+            for lo in range(0, len(ids), 500):
                 seen: set[tuple[int, int]] = set()
                 head, nodes, counts, sigs = [], [], [], []
-                for key, words in zip(ids[lo : lo + 1000], word_hashes(raws[lo : lo + 1000], lower=True)):
+                for key, words in zip(ids[lo : lo + 500], word_hashes(raw_slice(texts, lo, 500), lower=True)):
                     s = join.shingles(words)
                     node, check = _digest(s) if len(s) else (0, 0)
                     head.append((0, key, node, check, len(s), None, None))
@@ -157,6 +169,7 @@ def shingle_sets(docs: DataFrame, join: Join, id_col: str, text_col: str) -> Dat
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.ones(len(sig), np.int32)), none(pa.int64()), pa.array(np.repeat(np.array(nodes, np.int64), counts)), none(pa.int64()), none(pa.int64()), pa.array(sig), none(pa.binary())], _SET_NAMES
                     )
+        settle()
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(F.col(f"`{text_col}`")).alias("text")).where("doc_id is not null")
     return rows.mapInArrow(make, _SETS)
@@ -258,16 +271,17 @@ def coarse_links(tiles: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
     """(a, b): forests over what the bitmaps leave in each bucket tile."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for rows in batch.column(0).to_pylist():
-                member = {r["node"]: r for r in rows}
-                nodes = sorted(member)
-                n = np.array([member[x]["n"] for x in nodes])
-                x = _fold([member[x]["bits"] for x in nodes])
-                out += [(nodes[i], nodes[j]) for i, j in _forest(_bounded(x, x, n, n, join))]
+            for rows in batch.column(0):
+                nodes, first = np.unique(rows.values.field("node").to_numpy(), return_index=True)
+                n = rows.values.field("n").to_numpy()[first]
+                x = _fold([rows.values.field("bits")[i].as_py() for i in first.tolist()])
+                out += [(int(nodes[i]), int(nodes[j])) for i, j in _forest(_bounded(x, x, n, n, join))]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+        settle()
 
     met = tiles.join(classes, "node").groupBy("tile").agg(F.collect_list(F.struct("node", "n", "bits")).alias("rows"))
     return met.select("rows").mapInArrow(link, "a long, b long").distinct()
@@ -281,6 +295,7 @@ def exact_links(sets: DataFrame, join: Join) -> DataFrame:
     """
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             for rows in batch.column(0):
                 side = np.array([r.as_py() for r in rows.values.field("side")])
@@ -289,10 +304,8 @@ def exact_links(sets: DataFrame, join: Join) -> DataFrame:
                 bits = [x.as_py() for x in rows.values.field("bits")]
                 arrays = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.values.field("shingles")]
                 x = _fold(bits)
-                maybe = _bounded(x, x, n, n, join) & ~((side[:, None] == 1) & (side[None, :] == 1))
-                if (side == 1).any():
-                    maybe &= ~((side[:, None] == 0) & (side[None, :] == 0))
                 root = list(range(len(node)))
+                two = bool((side == 1).any())
 
                 def top(i: int) -> int:
                     while root[i] != i:
@@ -301,49 +314,79 @@ def exact_links(sets: DataFrame, join: Join) -> DataFrame:
                     return i
 
                 out: list[tuple[int, int]] = []
-                for i, j in zip(*(k.tolist() for k in np.nonzero(np.triu(maybe, 1)))):
-                    a, b = top(i), top(j)
-                    if a == b:
-                        continue
-                    p, q = (arrays[i], arrays[j]) if n[i] < n[j] else (arrays[j], arrays[i])
-                    same = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
-                    if join.den * same >= join.num * (len(p) + len(q) - same):
-                        root[a] = b
-                        out.append((int(node[i]), int(node[j])))
+                for lo in range(0, len(node), BLOCK):
+                    rows_ = slice(lo, lo + BLOCK)
+                    maybe = np.triu(_bounded(x[rows_], x[lo:], n[rows_], n[lo:], join), 1)
+                    if two:
+                        maybe &= side[rows_, None] != side[None, lo:]
+                    for i, j in zip(*((k + lo).tolist() for k in np.nonzero(maybe))):
+                        a, b = top(i), top(j)
+                        if a == b:
+                            continue
+                        p, q = (arrays[i], arrays[j]) if n[i] < n[j] else (arrays[j], arrays[i])
+                        same = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
+                        if join.den * same >= join.num * (len(p) + len(q) - same):
+                            root[a] = b
+                            out.append((int(node[i]), int(node[j])))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+        settle()
 
     met = sets.groupBy("tile").agg(F.collect_list(F.struct("side", "node", "n", "bits", "shingles")).alias("rows"))
     return met.select("rows").mapInArrow(link, "a long, b long")
 
 
-def group_tiles(groups: DataFrame, join: Join, tile: int = TILE) -> DataFrame:
-    """(node, tile, side) from (node, root, n): the tile pairs that each class takes part in.
+def _parts(tile: int) -> Column:
+    """Parts of a group of classes, so that each is a side of a tile."""
+    return F.ceil(F.greatest(F.count("*") / F.lit(float(tile)), 8 * F.sum("n") / F.lit(float(EXACT_BYTES)))).cast("int")
+
 
-    A group of at most ``tile`` classes is one tile. A larger one is cut by
-    fine size bands, in which a set can only meet its own and the next, and
-    each band by hash into parts of about ``tile`` classes.
+def first_tiles(groups: DataFrame, tile: int) -> DataFrame:
+    """(node, tile, side) from (node, root, n): small groups whole, large ones against pivots.
+
+    A group within the bounds of a tile is one. A larger one is cut by hash, and some PIVOTS of its classes, chosen by hash, join every part: they
+    tie most of a dense group together before any two parts have to meet.
+    """
+    sizes = groups.groupBy("root").agg(F.count("*").alias("m"), _parts(tile).alias("parts"))
+    g = groups.join(sizes, "root")
+    small = g.where("parts = 1").select("node", F.xxhash64("root").alias("tile"), F.lit(0).alias("side"))
+    big = g.where("parts > 1")
+    of_part = big.select("node", F.xxhash64("root", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("parts")).cast("int")).alias("tile"), F.lit(1).alias("side"))
+    chosen = big.where(F.pmod(F.xxhash64(F.lit(4), "node"), F.ceil(F.col("m") / PIVOTS)) == 0)
+    pivots = chosen.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("node", F.xxhash64("root", "part"), F.lit(0))
+    return small.union(of_part).union(pivots)
+
+
+def rest_tiles(groups: DataFrame, tied: DataFrame, join: Join, tile: int) -> DataFrame:
+    """(node, tile, side): what the pivots left open in large groups.
+
+    Classes that are tied to many others are chunked by component, the others
+    together; both by fine size bands and hash. Two chunks meet unless they are
+    of one component or their sizes forbid a link.
     """
     ratio = float(np.log(join.den / join.num))
-    g = groups.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int"))
-    sizes = g.groupBy("root", "band").agg(F.count("*").alias("m"))
-    total = sizes.groupBy("root").agg(F.sum("m").alias("all"))
-    cut = sizes.join(total, "root").withColumn("parts", F.ceil(F.col("m") / F.lit(tile * 0.8)).cast("int"))
-    # The next two bands, for sizes that rounding puts on an edge.
-    other = cut.select("root", F.col("band").alias("band2"), F.col("parts").alias("parts2"))
-    around = cut.where(F.col("all") > tile).join(other, "root").where("abs(band2 - band) <= 2")
-    around = around.groupBy("root", "band").agg(F.first("parts").alias("parts"), F.collect_list(F.struct("band2", "parts2")).alias("around"))
-    small = g.join(cut.where(F.col("all") <= tile).select("root", "band"), ["root", "band"], "left_semi").select("node", F.xxhash64("root").alias("tile"), F.lit(0).alias("side"))
-    big = g.join(around, ["root", "band"]).withColumn("part", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("parts")).cast("int"))
-    big = big.withColumn("o", F.explode("around")).withColumn("part2", F.explode(F.sequence(F.lit(0), F.col("o.parts2") - 1)))
-    first = (F.col("band") < F.col("o.band2")) | ((F.col("band") == F.col("o.band2")) & (F.col("part") <= F.col("part2")))
-    lo = F.when(first, F.struct("band", "part")).otherwise(F.struct(F.col("o.band2").alias("band"), F.col("part2").alias("part")))
-    hi = F.when(first, F.struct(F.col("o.band2").alias("band"), F.col("part2").alias("part"))).otherwise(F.struct("band", "part"))
-    big = big.select("node", F.xxhash64("root", lo, hi).alias("tile"), F.when(first, 0).otherwise(1).alias("side"))
-    return small.union(big)
-
-
-def classes_and_links(docs: DataFrame, join: Join, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    large = groups.groupBy("root").agg(F.count("*").alias("m"), _parts(tile).alias("parts")).where("parts > 1").select("root", "m")
+    g = groups.join(large, "root").join(tied.select("node", F.col("root").alias("c")), "node", "left").withColumn("c", F.coalesce("c", "node"))
+    many = g.groupBy("root", "c").agg((8 * F.count("*") >= F.first("m")).alias("many")).where("many")
+    g = g.join(many, ["root", "c"], "left").withColumn("c", F.when(F.col("many"), F.col("c")))
+    g = g.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int"))
+    parts = g.groupBy("root", "c", "band").agg(_parts(tile).alias("parts"))
+    cut = parts.select(F.col("root").alias("r"), F.col("c").alias("cc"), F.col("band").alias("b"), "parts")
+    g = g.join(cut, (g.root == F.col("r")) & g.c.eqNullSafe(F.col("cc")) & (g.band == F.col("b")))
+    part = F.pmod(F.xxhash64(F.lit(3), "node"), F.col("parts")).cast("int")
+    g = g.select("node", "root", "c", "n", F.xxhash64("root", F.coalesce("c", F.lit(0).cast("long")), F.col("c").isNull(), "band", part).alias("chunk"))
+    g = materialize(g, "chunks")
+    chunks = g.groupBy("root", "chunk").agg(F.first("c").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    a, b = (chunks.select("root", *[F.col(x).alias(f"{x}_{s}") for x in ("chunk", "c", "lo", "hi")]) for s in "ab")
+    same = F.col("c_a").isNotNull() & (F.col("c_a") == F.col("c_b"))
+    meet = (join.den * F.col("hi_a") >= join.num * F.col("lo_b")) & (join.den * F.col("hi_b") >= join.num * F.col("lo_a"))
+    pairs = a.join(b, "root").where((F.col("chunk_a") <= F.col("chunk_b")) & ~F.coalesce(same, F.lit(False)) & meet)
+    pairs = pairs.select("chunk_a", "chunk_b", F.xxhash64("chunk_a", "chunk_b").alias("tile"))
+    sides = pairs.select("tile", F.col("chunk_a").alias("chunk"), F.lit(0).alias("side")).union(pairs.where("chunk_a <> chunk_b").select("tile", "chunk_b", F.lit(1)))
+    return g.select("node", "chunk").join(sides, "chunk").select("node", "tile", "side")
+
+
+def classes_and_links(docs: DataFrame, join: Join, id_col: str = "doc_id", text_col: str = "text", tile: int = EXACT_TILE) -> tuple[DataFrame, DataFrame]:
     """(members, links): (doc_id, node, n) of every document, and a forest (a, b) over linked nodes."""
     sets = materialize(shingle_sets(docs, join, id_col, text_col), "sets", "kind")
     members = sets.where("kind = 0").select("doc_id", "node", "check", "n")
@@ -352,31 +395,36 @@ def classes_and_links(docs: DataFrame, join: Join, id_col: str = "doc_id", text_
     classes = sets.where("kind = 2").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     classes = materialize(classes, "classes")
     found = materialize(buckets(sets.where("kind = 1")), "buckets")
+    release(sets, part="/kind=1")
     coarse = materialize(coarse_links(bucket_tiles(found), classes.drop("rep"), join), "coarse")
     groups = components(coarse).join(classes, "node")
     groups = materialize(groups, "groups")
-    tiles = group_tiles(groups.select("node", "root", "n"), join)
+    release(found, coarse, classes)
 
     # One text of each class that is in a group is read again for its exact array.
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raws = [x.as_buffer().to_pybytes() for x in batch.column(3).cast(pa.binary())]
-            for lo in range(0, len(raws), 256):
+            texts = batch.column(3).cast(pa.binary())
+            for lo in range(0, len(texts), 256):
                 part = batch.slice(lo, 256)
-                got = [join.shingles(w).tobytes() for w in word_hashes(raws[lo : lo + 256], lower=True)]
+                got = [join.shingles(w).tobytes() for w in word_hashes(raw_slice(texts, lo, 256), lower=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(got, pa.binary())], ["node", "n", "bits", "shingles"])
+        settle()
 
     text = docs.select(F.col(f"`{id_col}`").cast("long").alias("rep"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
     needed = groups.select("rep", "node", "n", "bits").join(text.hint("merge"), "rep").select("node", "n", "bits", "text")
     exact = materialize(needed.mapInArrow(arrays, "node long, n long, bits binary, shingles binary"), "arrays")
-    links = materialize(exact_links(tiles.join(exact, "node"), join).distinct(), "links")
-    release(found, coarse, groups, exact, classes)
-    return members, links
+    own = groups.select("node", "root", "n")
+    first = materialize(exact_links(first_tiles(own, tile).join(exact, "node"), join).distinct(), "first-links")
+    rest = rest_tiles(own, components(first), join, tile)
+    second = materialize(exact_links(rest.join(exact, "node"), join).distinct(), "rest-links")
+    release(groups, exact)
+    return members, first.union(second)
 
 
-def jaccard_components(docs: DataFrame, join: Join | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, join: Join | None = None, id_col: str = "doc_id", text_col: str = "text", tile: int = EXACT_TILE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row with a doc_id."""
-    members, links = classes_and_links(docs, join or Join(), id_col, text_col)
+    members, links = classes_and_links(docs, join or Join(), id_col, text_col, tile)
     roots = components(links)
     # Rows of one doc_id with several texts are one node: their classes are linked too.
     own = members.where("n > 0").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count_distinct("node").alias("c")).where("c > 1")

@@ -59,15 +59,14 @@ def near_copies(seed, groups=6, copies=25, words=(8, 9, 10, 11, 20, 57, 130, 300
     return [(i, t) for i, t in enumerate(out)]
 
 
-@pytest.mark.parametrize("tile,join", [(1024, nj.Join()), (8, nj.Join()), (16, nj.Join(5, 80, 100))])
+@pytest.mark.parametrize("tile,join", [(512, nj.Join()), (4, nj.Join()), (8, nj.Join()), (16, nj.Join(5, 80, 100))])
 def test_components_of_near_copies(spark, monkeypatch, tile, join):
     monkeypatch.setattr(nj, "TILE", tile)
+    monkeypatch.setattr(nj, "PIVOTS", 3)
+    monkeypatch.setattr(nj, "BLOCK", 2)
     rows = near_copies(tile)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    if tile != 1024:
-        real = nj.group_tiles
-        monkeypatch.setattr(nj, "group_tiles", lambda g, j: real(g, j, tile))
-    assert sorted(tuple(r) for r in nj.jaccard_components(docs, join).collect()) == brute(rows, join)
+    assert sorted(tuple(r) for r in nj.jaccard_components(docs, join, tile=tile).collect()) == brute(rows, join)
 
 
 def test_components_of_tables(spark):
