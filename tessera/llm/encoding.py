@@ -20,7 +20,7 @@ import os
 
 import numpy as np
 
-from tessera.llm.hashing import span_hashes
+from tessera.llm.hashing import lean, span_hashes
 
 _SPACE, _FEED, _LETTER, _DIGIT, _SIGN, _APOSTROPHE, _HIGH = range(7)
 
@@ -93,6 +93,7 @@ class Encoder:
     def __init__(self, path: str, cache_pieces: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
+        lean()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -223,13 +224,16 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def slices(texts: list[str], chars: int = 2_000_000):
-    """Ranges of texts of about so many characters, a single longer text by itself."""
+def text_slices(texts, chars: int = 1_000_000, rows: int = 4096):
+    """(first row, list of texts) of an Arrow string column, parts of about so many bytes and at most so many rows."""
+    import pyarrow.compute as pc
+
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     start = held = 0
-    for i, t in enumerate(texts):
-        if held and held + len(t) > chars:
-            yield start, i
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and (held + n > chars or i - start == rows):
+            yield start, texts.slice(start, i - start).to_pylist()
             start, held = i, 0
-        held += len(t)
+        held += n
     if start < len(texts):
-        yield start, len(texts)
+        yield start, texts.slice(start).to_pylist()

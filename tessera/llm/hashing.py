@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
+
 import numpy as np
 
 _SPACE = np.zeros(256, bool)
@@ -11,10 +14,32 @@ _LOWER[65:91] += 32
 _R = 0x9E3779B97F4A7C55
 _R_INVERSE = pow(_R, -1, 1 << 64)
 #: Bytes that are hashed at once.
-CHUNK = 1 << 22
+CHUNK = 1 << 19
 _powers: list[np.ndarray] = []
 
 
+def lean() -> None:
+    """Let a Python worker hand freed arrays back: workers live on and share an executor's memory.
+
+    The C library else keeps what it once had of blocks of up to 32 MB.
+    """
+    if sys.platform == "linux":
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "mallopt"):
+            libc.mallopt(-3, 8 << 20)  # M_MMAP_THRESHOLD
+            libc.mallopt(-1, 32 << 20)  # M_TRIM_THRESHOLD
+
+
+def settle() -> None:
+    """At the end of a task: hand back what is free."""
+    import pyarrow
+
+    _powers.clear()
+    pyarrow.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(ctypes.CDLL(None), "malloc_trim"):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(30))
     x = x * np.uint64(0xBF58476D1CE4E5B9)
@@ -65,6 +90,11 @@ def _cuts(raw: bytes) -> list[bytes]:
     return [*parts, raw[at:]]
 
 
+def raw_slice(column, start: int, n: int) -> list[bytes]:
+    """Bytes of rows of an Arrow binary column."""
+    return [x.as_buffer().to_pybytes() for x in column.slice(start, n)]
+
+
 def word_hashes(raws: list[bytes], lower: bool = False) -> list[np.ndarray]:
     """For each text its words' hashes in order. Words are runs of other bytes than blanks."""
     out: list[np.ndarray] = [np.empty(0, np.uint64)] * len(raws)

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.encoding import slices
+from tessera.llm.encoding import text_slices
+from tessera.llm.hashing import lean, settle
 from tessera.llm.native import documents
 
 MAX_N = 3
@@ -37,6 +38,8 @@ DIM = 1 << 13
 SAMPLE = 400
 LANDMARKS = 48
 RIDGE = 0.3
+#: Texts that are scored at once, DIM floats each.
+BATCH = 256
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 
 
@@ -132,10 +135,11 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     @F.arrow_udf("binary")
     def packed(texts: pa.Array) -> pa.Array:
+        lean()
         out: list[bytes] = []
-        values = texts.to_pylist()
-        for a, b in slices(values, 1_000_000):
-            out += [np.packbits(x).tobytes() for x in presence(values[a:b])]
+        for _, values in text_slices(texts, rows=BATCH):
+            out += [np.packbits(x).tobytes() for x in presence(values)]
+        settle()
         return pa.array(out, pa.binary())
 
     chosen = rows.withColumn("o", order).where(F.col("o") < F.element_at(limit, F.col("lang"))).select("lang", "o", "id", packed("text").alias("bits")).collect()
@@ -153,22 +157,21 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 def predict(text: Column, model: Model | None) -> Column:
     """A struct (lang, score) for a text."""
-    kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
-
     @F.arrow_udf("lang string, score double")
     def look(texts: pa.Array) -> pa.Array:
-        values = texts.to_pylist()
-        out = [{"lang": "und", "score": 0.0}] * len(values)
-        some = [i for i, t in enumerate(values) if model is not None and t and any(map(str.isalpha, t))]
-        given = [values[i] for i in some]
-        for a, b in slices(given, 1_000_000):
-            for lo in range(a, b, 256):
-                at = given[lo : min(b, lo + 256)]
-                scores = model.scores(at)
-                best = scores.argmax(axis=1)
-                for i, k, s in zip(some[lo : lo + len(at)], best.tolist(), scores.max(axis=1).tolist()):
-                    out[i] = {"lang": model.langs[k], "score": min(1.0, max(0.0, (s + 1) / 2))}
-        return pa.array(out, kind)
+        lean()
+        langs, scores = [], []
+        for _, values in text_slices(texts.fill_null(""), rows=BATCH):
+            lang, score = ["und"] * len(values), [0.0] * len(values)
+            some = [i for i, t in enumerate(values) if model is not None and any(map(str.isalpha, t))]
+            if some:
+                found = model.scores([values[i] for i in some])
+                for i, k, s in zip(some, found.argmax(axis=1).tolist(), found.max(axis=1).tolist()):
+                    lang[i], score[i] = model.langs[k], min(1.0, max(0.0, (s + 1) / 2))
+            langs += lang
+            scores += score
+        settle()
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
     return look(text)
 

@@ -32,7 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.encoding import default_tokenizer, encoder, slices
+from tessera.llm.encoding import default_tokenizer, encoder, text_slices
+from tessera.llm.hashing import settle
 from tessera.llm.native import documents, text_or_empty
 from tessera.workspace import materialize
 
@@ -49,10 +50,10 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, pid, seen = encoder(tokenizer), TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
+            keys = batch.column(0).to_pylist()
+            for a, texts in text_slices(batch.column(1)):
                 rows: list[tuple] = []
-                for key, ids in zip(keys[a:b], enc.encode(texts[a:b])):
+                for key, ids in zip(keys[a : a + len(texts)], enc.encode(texts)):
                     ids = np.append(ids, end).astype("<u4")
                     n = len(ids)
                     start, piece = 0, 0
@@ -63,6 +64,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
                         start, piece = start + length, piece + 1
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32", "pid", "local_rank"])
+        settle()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(cut, PIECES)
 
@@ -129,7 +131,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 offset[at] = run[:, 3] + in_run % run[:, 2] * n
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(seq), pa.array(offset)], [*batch.schema.names[:5], "sequence_id", "offset"])
 
-    ranked = pieces.join(before, ["length", "pid"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("local_rank")).alias("rank"))
+    ranked = pieces.join(before.hint("merge"), ["length", "pid"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("local_rank")).alias("rank"))
     return ranked.mapInArrow(assign, PLACED)
 
 

@@ -39,14 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.hashing import mix64, span_hashes, word_hashes
+from tessera.llm.hashing import lean, mix64, raw_slice, settle, span_hashes, word_hashes
 from tessera.llm.native import documents, text_or_empty
 from tessera.workspace import drop_path, materialize, new_path, release
 
 WINDOW = 20
 GRAM = 6
 #: Units that a task holds while it drops its own repeats.
-HELD_UNITS = 1_000_000
+HELD_UNITS = 500_000
 _U = np.uint64
 _SALT = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F))
 #: fresh: 0 for rows of the index, 1 for those of the batch. at: start << 24 | windows << 16 | 16 bits of the text's hash.
@@ -144,12 +144,13 @@ def batch_units(docs: DataFrame, windows: Windows, id_col: str = "doc_id", text_
     """(kind, mh, uh, fresh, doc, at): candidates and known repeats of a batch."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         held, n = [], 0
         for batch in batches:
             docs_, ths = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            raws = [x.as_buffer().to_pybytes() for x in batch.column(1).cast(pa.binary())]
-            for lo in range(0, len(raws), 512):
-                for i, words in enumerate(word_hashes(raws[lo : lo + 512]), lo):
+            texts = batch.column(1).cast(pa.binary())
+            for lo in range(0, len(texts), 512):
+                for i, words in enumerate(word_hashes(raw_slice(texts, lo, 512)), lo):
                     mh, uh, starts, counts = windows.units(words)
                     if len(mh):
                         held.append((mh.view(np.int64), uh.view(np.int64), np.full(len(mh), docs_[i]), starts << 24 | counts << 16 | ths[i]))
@@ -158,6 +159,7 @@ def batch_units(docs: DataFrame, windows: Windows, id_col: str = "doc_id", text_
                     yield from _local(held)
                     held, n = [], 0
         yield from _local(held)
+        settle()
 
     return _text_rows(docs, id_col, text_col).where("doc is not null").select("doc", "text", "th").mapInArrow(make, f"kind int, {RUN}")
 
@@ -219,11 +221,11 @@ def contested_windows(contested: DataFrame, corpus: DataFrame, windows: Windows,
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs_, ths = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            raws = [x.as_buffer().to_pybytes() for x in batch.column(2).cast(pa.binary())]
-            for lo in range(0, len(raws), 512):
+            texts = batch.column(2).cast(pa.binary())
+            for lo in range(0, len(texts), 512):
                 held = []
                 fresh_of = []
-                for i, words in enumerate(word_hashes(raws[lo : lo + 512]), lo):
+                for i, words in enumerate(word_hashes(raw_slice(texts, lo, 512)), lo):
                     units = batch.column(3)[i].values
                     mh, fresh, at = (units.field(k).to_numpy() for k in range(3))
                     counts = (at >> 16) & 255
@@ -233,6 +235,7 @@ def contested_windows(contested: DataFrame, corpus: DataFrame, windows: Windows,
                 if held:
                     a, b, doc, at = (np.concatenate(c) for c in zip(*held))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((a, b, np.concatenate(fresh_of), doc, at), _TYPES)], _NAMES)
+        settle()
 
     rows = text.hint("merge").join(asked, ["doc", "th"]).select("doc", "th", "text", "units").mapInArrow(expand, RUN)
     dealt = rows.repartition("mh", "uh").sortWithinPartitions("mh", "uh", "fresh", "doc", "at")

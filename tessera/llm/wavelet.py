@@ -31,9 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.encoding import default_tokenizer, encoder, slices
+from tessera.llm.encoding import default_tokenizer, encoder, text_slices
+from tessera.llm.hashing import settle
 from tessera.llm.native import documents, text_or_empty
-from tessera.workspace import new_path
+from tessera.workspace import new_path, small_batches
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
@@ -185,9 +186,9 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
                 base, seq, held, ids, counts, blobs = base + held, seq + 1, 0, [], [], []
 
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                for key, got in zip(keys[a:b], enc.encode(texts[a:b])):
+            keys = batch.column(0).to_pylist()
+            for a, texts in text_slices(batch.column(1)):
+                for key, got in zip(keys[a : a + len(texts)], enc.encode(texts)):
                     n = len(got) + 1
                     if held and held + n > shard_tokens:
                         flush()
@@ -196,11 +197,13 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
                     blobs += [got, end]
                     held += n
         flush()
+        settle()
         yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([base], pa.int64())], ["pid", "n_tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     parts = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(write, "pid int, n_tokens long")
-    return sorted((r.pid, r.n_tokens) for r in parts.collect())
+    with small_batches(docs.sparkSession):
+        return sorted((r.pid, r.n_tokens) for r in parts.collect())
 
 
 def read_shards(spark: SparkSession, folder: str, partitions: list[tuple[int, int]]) -> DataFrame:
