@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import itertools
 import tempfile
 import uuid
@@ -75,10 +76,16 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return out
 
 
-def release(*frames: DataFrame) -> None:
-    """Delete tables from :func:`materialize` that nothing lazy reads any more."""
+def release(*frames: DataFrame, part: str = "") -> None:
+    """Delete tables from :func:`materialize` that nothing lazy reads any more, or a part of them.
+
+    What was shuffled for them is free too, once the driver notices: Spark's
+    cleaner drops shuffle files when their plans are garbage.
+    """
     for df in frames:
-        drop_path(df.sparkSession, df._tessera_path)
+        drop_path(df.sparkSession, df._tessera_path + part)
+    gc.collect()
+    frames[0].sparkSession._jvm.System.gc()
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

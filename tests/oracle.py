@@ -50,7 +50,7 @@ if __name__ == "__main__":
     import __spark_entry__ as entry
 
     sf, names = (sys.argv + ["/root/testdata/sf0.01"])[1], sys.argv[2:]
-    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    spark = SparkSession.builder.master(f"local[{os.environ.get('ORACLE_CPUS', '8')}]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     queries, sqls = entry.queries(), entry.oracle_sql()
     for n in names or queries:
