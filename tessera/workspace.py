@@ -76,6 +76,12 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return out
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let the driver notice plans that nothing refers to, so that their shuffle files go."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def release(*frames: DataFrame, part: str = "") -> None:
     """Delete tables from :func:`materialize` that nothing lazy reads any more, or a part of them.
 
@@ -84,8 +90,7 @@ def release(*frames: DataFrame, part: str = "") -> None:
     """
     for df in frames:
         drop_path(df.sparkSession, df._tessera_path + part)
-    gc.collect()
-    frames[0].sparkSession._jvm.System.gc()
+    tidy(frames[0].sparkSession)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
