@@ -15,15 +15,16 @@ from tessera.llm import langid, line_dedup, mixing, ngram_join, packing
 from tessera.llm.native import documents
 from tessera.workspace import materialize, release
 
-#: A text whose best language scores less than this is no language's text.
-MIN_SCORE = 0.25
+#: A text whose best language scores less than this is no known language's text; see langid for what the score's half is.
+MIN_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a known language; lang becomes the predicted one.
 
-    Rejected: texts without a letter, and texts that every language's
-    classifier rejects by a wide margin. The model is fitted on the labelled
+    Rejected: texts without a letter, and texts under the bounds that the model
+    takes from labelled texts it did not learn from: other languages, other
+    scripts, random letters. The model is fitted on the labelled
     documents of the stage's own input that are not held out.
     """
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))

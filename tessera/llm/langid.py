@@ -13,6 +13,13 @@ N-grams are hashed to ``DIM`` places. The model is fitted on at most
 their ids; only their presence bits, DIM / 8 bytes a text, reach the driver.
 Everything else goes over all rows, and nothing is shuffled.
 
+A score of a half is the border of the known languages. The sample is also
+scored in folds, each by a model of the others. A text's best value has to
+reach half of what all but ``STRAYS`` of these texts reach, and 0 at least,
+as a text with no value over 0 is rejected by every language; and so has the
+share of the text's own kernel that the landmarks explain, which is near 0 for
+other scripts and for noise. Under either the score is less than a half.
+
 Defined results: ``und`` with score 0 for a null text, a text without a
 letter, and for all texts if nothing is labelled. Equal texts get equal
 results. A row without doc_id is not held out and not learnt from. Ties go to
@@ -38,6 +45,9 @@ DIM = 1 << 13
 SAMPLE = 400
 LANDMARKS = 48
 RIDGE = 0.3
+#: Parts of the sample that are scored by a model of the others, and the share of their texts that bounds do not heed.
+FOLDS = 4
+STRAYS = 0.002
 #: Texts that are scored at once, DIM floats each.
 BATCH = 256
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
@@ -84,18 +94,34 @@ def presence(texts: list[str]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Landmark presence (landmarks x DIM, over their roots) and weights (landmarks x languages)."""
+    """Landmark presence (landmarks x DIM, over their roots), their root (landmarks x features) and weights (landmarks x languages).
+
+    ``floor`` and ``reach`` are what the best value and the explained share of a text in a known language reach.
+    """
 
     langs: list[str]
     marks: np.ndarray
+    root: np.ndarray
     weights: np.ndarray
+    floor: float = 0.0
+    reach: float = 0.0
 
     def kernel(self, bits: np.ndarray) -> np.ndarray:
         x = bits.astype(np.float32)
         return (x @ self.marks.T) / np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        return self.kernel(presence(texts)) @ self.weights
+    def look(self, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values (texts x languages) and the explained share of each text."""
+        k = self.kernel(bits)
+        return k @ self.weights, np.square(k @ self.root).sum(axis=1)
+
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The best language of each text by its place, and its score."""
+        values, share = self.look(presence(texts))
+        score = np.clip((values.max(axis=1) - self.floor + 1) / 2, 0, 1)
+        far = share < self.reach
+        score[far] = np.minimum(score[far], share[far] / self.reach / 2)
+        return values.argmax(axis=1), score
 
 
 def fit(bits: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
@@ -113,7 +139,22 @@ def fit(bits: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: f
     features = (x @ marks.T).astype(np.float64) @ root
     signs = np.where(y[:, None] == np.arange(len(names)), 1.0, -1.0)
     w = np.linalg.solve(features.T @ features + ridge * np.eye(features.shape[1]), features.T @ signs)
-    return Model(names, marks, (root @ w).astype(np.float32))
+    return Model(names, marks, root.astype(np.float32), (root @ w).astype(np.float32))
+
+
+def fit_bounded(bits: np.ndarray, langs: list[str]) -> Model:
+    """The model of all rows, its bounds from rows that were not learnt from."""
+    model = fit(bits, langs)
+    fold = np.arange(len(langs)) % FOLDS
+    best, share = [], []
+    for k in range(FOLDS if len(langs) >= FOLDS else 0):
+        values, shares = fit(bits[fold != k], [x for x, f in zip(langs, fold) if f != k]).look(bits[fold == k])
+        best.append(values.max(axis=1))
+        share.append(shares)
+    if best:
+        model.floor = max(0.0, float(np.quantile(np.concatenate(best), STRAYS)) / 2)
+        model.reach = float(np.quantile(np.concatenate(share), STRAYS)) / 2
+    return model
 
 
 def held_out(doc_id: Column) -> Column:
@@ -152,7 +193,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             kept.append(r)
     if not kept:
         return None
-    return fit(np.unpackbits(np.frombuffer(b"".join(bytes(r.bits) for r in kept), np.uint8)).reshape(len(kept), DIM), [r.lang for r in kept])
+    return fit_bounded(np.unpackbits(np.frombuffer(b"".join(bytes(r.bits) for r in kept), np.uint8)).reshape(len(kept), DIM), [r.lang for r in kept])
 
 
 def predict(text: Column, model: Model | None) -> Column:
@@ -165,9 +206,9 @@ def predict(text: Column, model: Model | None) -> Column:
             lang, score = ["und"] * len(values), [0.0] * len(values)
             some = [i for i, t in enumerate(values) if model is not None and any(map(str.isalpha, t))]
             if some:
-                found = model.scores([values[i] for i in some])
-                for i, k, s in zip(some, found.argmax(axis=1).tolist(), found.max(axis=1).tolist()):
-                    lang[i], score[i] = model.langs[k], min(1.0, max(0.0, (s + 1) / 2))
+                best, found = model.scores([values[i] for i in some])
+                for i, k, s in zip(some, best.tolist(), found.tolist()):
+                    lang[i], score[i] = model.langs[k], s
             langs += lang
             scores += score
         settle()

@@ -1,3 +1,7 @@
+import random
+import string
+import zlib
+
 import pytest
 from tokenizers import Tokenizer
 
@@ -63,6 +67,30 @@ def test_every_stage_on_its_own_input(spark, which):
     check_packing(pieces, {r.doc_id: r.text for r in docs.collect()}, lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids, 2048)
 
 
+FOREIGN = [
+    "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所でニャーニャー泣いていた事だけは記憶している。",
+    "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. Все смешалось в доме Облонских.",
+    "Litwo, ojczyzno moja, ty jesteś jak zdrowie. Ile cię trzeba cenić, ten tylko się dowie, kto cię stracił. Dziś piękność twą w całej ozdobie widzę i opisuję.",
+    "Mieleni minun tekevi, aivoni ajattelevi lähteäni laulamahan, saa'ani sanelemahan, sukuvirttä suoltamahan, lajivirttä laulamahan.",
+    "x" * 5000,
+]
+
+
+def test_foreign_and_random_texts_are_rejected(spark):
+    rng = random.Random(4)
+    noise = [" ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 10))) for _ in range(n)) for n in (20, 200, 2000, 20000)]
+    free = (i for i in range(10**6, 10**7) if zlib.crc32(str(i).encode()) % 4 == 2)  # held out: nothing is learnt from them
+    planted = [(next(free), t, "en", "src1", len(t)) for t in FOREIGN + noise]
+    for sf in (SF, "/root/testdata/sf0.01"):
+        docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+        both = docs.union(spark.createDataFrame(planted, docs.schema))
+        kept = {r.doc_id: r.lang for r in cp.identify_language(spark, both, sf).collect()}
+        assert [t[:30] for d, t, *_ in planted if d in kept] == []
+        known = {r.doc_id: r.lang for r in docs.collect() if any(map(str.isalpha, r.text or ""))}
+        held = [d for d in known if zlib.crc32(str(d).encode()) % 4 == 2]
+        assert sum(d in kept for d in known) >= 0.99 * len(known) and sum(kept.get(d) == known[d] for d in held) >= 0.97 * len(held)
+
+
 def test_run_is_its_stages(spark):
     assert [n for n, _ in cp.STAGES] == ["language_id", "line_dedup", "ngram_jaccard_join", "source_mixing", "best_fit_packing"]
     docs = fixtures.small(spark)
