@@ -7,6 +7,11 @@ single spaces, equivalent spellings replaced, the lines that remain joined by
 a space. Lines are also compared, each as an entire text of its own, with
 known one-line notices.
 
+Known are LICENSES and NOTICES here, which the SQL has too; the digests of
+``known_licenses.tsv``, made by :func:`text_digests` of the files in
+``known_licenses`` (id, ``@``, where the copy is from); and the usual notice
+wordings of NAMES, by :func:`usual_notices`.
+
 Only DataFrame functions are used and nothing is shuffled: the known texts are
 a reference table, broadcast after its number of rows is checked against
 ``BROADCAST_ROWS`` and joined by a shuffle beyond that.
@@ -18,6 +23,10 @@ row out for each row in. Columns named like the results are replaced.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +71,55 @@ NOTICES = {
     "MIT": "Released under the MIT License.",
 }
 
+#: What notices call a licence, after "the" or not. Each id also stands in an SPDX line.
+NAMES = {
+    "0BSD": ["BSD Zero Clause License", "0BSD License"],
+    "AFL-3.0": ["Academic Free License version 3.0"],
+    "AGPL-3.0": ["GNU Affero General Public License v3.0", "GNU Affero General Public License, version 3", "GNU AGPL v3", "AGPLv3", "AGPL-3.0 License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0 License", "Apache 2.0"],
+    "Artistic-2.0": ["Artistic License 2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-clause BSD License", "Simplified BSD License", "FreeBSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-clause BSD License", "New BSD License", "Modified BSD License"],
+    "BSL-1.0": ["Boost Software License, Version 1.0", "Boost Software License 1.0"],
+    "CC0-1.0": ["CC0 1.0 Universal License", "Creative Commons CC0 License", "Creative Commons Zero v1.0 Universal License", "CC0 1.0 Universal", "CC0 1.0", "CC0"],
+    "CDDL-1.0": ["Common Development and Distribution License 1.0"],
+    "EPL-1.0": ["Eclipse Public License 1.0", "Eclipse Public License v1.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License v2.0", "Eclipse Public License v. 2.0", "EPL 2.0"],
+    "EUPL-1.2": ["European Union Public License 1.2", "EUPL v1.2"],
+    "GFDL-1.3": ["GNU Free Documentation License, Version 1.3", "GNU Free Documentation License 1.3"],
+    "GPL-2.0": ["GNU General Public License v2.0", "GNU General Public License, version 2", "GNU GPL v2", "GPL v2", "GPLv2", "GPL-2.0 License"],
+    "GPL-3.0": ["GNU General Public License v3.0", "GNU General Public License, version 3", "GNU GPL v3", "GPL v3", "GPLv3", "GPL-3.0 License"],
+    "ISC": ["ISC License"],
+    "LGPL-2.1": ["GNU Lesser General Public License v2.1", "GNU Lesser General Public License, version 2.1", "GNU LGPL v2.1", "LGPLv2.1", "LGPL-2.1 License"],
+    "LGPL-3.0": ["GNU Lesser General Public License v3.0", "GNU Lesser General Public License, version 3", "GNU LGPL v3", "LGPLv3", "LGPL-3.0 License"],
+    "MIT": ["MIT License", "MIT/X11 License", "MIT-License", "Expat License"],
+    "MPL-1.1": ["Mozilla Public License, version 1.1", "Mozilla Public License 1.1"],
+    "MPL-2.0": ["Mozilla Public License, v. 2.0", "Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL 2.0"],
+    "NCSA": ["University of Illinois/NCSA Open Source License", "NCSA License"],
+    "OFL-1.1": ["SIL Open Font License, Version 1.1", "SIL Open Font License 1.1"],
+    "Unlicense": ["Unlicense", "The Unlicense"],
+    "WTFPL": ["WTFPL"],
+    "Zlib": ["zlib License", "zlib/libpng License"],
+}
+for _code, _words in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    for _version, _place in (("4.0", "International"), ("3.0", "Unported")):
+        _full = f"Creative Commons {_words} {_version}"
+        NAMES[f"CC-{_code}-{_version}"] = [f"CC {_code} {_version}", f"CC {_code} {_version} License", f"CC-{_code}", f"{_full} License", f"{_full} {_place} License", f"{_full} {_place}"][:: 1 if _version == "4.0" else -1][: 6 if _version == "4.0" else 3]
+_GRANTS = ("Licensed", "Released", "Distributed", "Published", "Available", "Provided", *(f"{x} licensed" for x in ("This work is", "This project is", "This software is", "This program is", "This file is", "This document is", "This code is", "This source code is", "This content is", "This package is", "This library is")))
+_FORMS = ("{grant} under {name}.", "{grant} under the {name}.", "{grant} under the terms of the {name}.")
+
+
+def usual_notices() -> list[tuple[str, str]]:
+    """(id, sentence) of NOTICES, of the wordings of NAMES, and of SPDX lines; GNU ids also as -only, -or-later and +."""
+    out = list(NOTICES.items())
+    for license_id, names in sorted(NAMES.items()):
+        out += [(license_id, form.format(grant=grant, name=name)) for name in names for grant in _GRANTS for form in _FORMS]
+        out += [(license_id, f"License: {name}") for name in names]
+        gnu = "GPL" in license_id or "GFDL" in license_id
+        out += [(license_id, f"SPDX-License-Identifier: {license_id}{end}") for end in (("", "-only", "-or-later") if gnu else ("",))]
+    return out
+
+
 _COPYRIGHT = r"^\W*(?:copyright\W*(?:\(c\)|©|\d{4}|by\b)|\(c\)\s*\d|©|all rights reserved\W*$).*"
 #: Equivalent spellings, applied to words parted by single spaces.
 _SPELLINGS = [
@@ -95,6 +153,29 @@ def known_table(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
     return rows.select("license_id", F.sha2(F.array_join(canonical_lines(F.col("known_text")), " "), 256).alias("digest"))
 
 
+def text_digests(spark: SparkSession) -> DataFrame:
+    """(license_id, digest) of the files in known_licenses: what known_licenses.tsv holds."""
+    files = sorted(Path(__file__).with_name("known_licenses").glob("*.txt"))
+    return known_table(spark, {p.stem: p.read_text() for p in files}).select(F.substring_index("license_id", "@", 1).alias("license_id"), "digest")
+
+
+def known_digests(spark: SparkSession) -> DataFrame:
+    """(license_id, digest) of all known texts."""
+    rows = [tuple(line.split("\t")) for line in Path(__file__).with_name("known_licenses.tsv").read_text().splitlines()]
+    return known_table(spark, LICENSES).union(literal_table(spark, rows, ["license_id", "digest"]))
+
+
+def _notice_forms(spark: SparkSession, notices: list[tuple[str, str]]) -> dict[str, str]:
+    """Canonical form to id; of two ids with one form, the first. The sentences travel as one literal."""
+    lines = F.split(F.lit("\n".join(t.replace("\n", " ") for _, t in notices)), "\n", -1)
+    rows = spark.range(1, numPartitions=1).select(F.posexplode(lines).alias("i", "t")).select("i", _canonical_line(F.col("t")).alias("c")).collect()
+    out: dict[str, str] = {}
+    for r in sorted(rows):
+        out.setdefault(r.c, notices[r.i][0])
+    out.pop("", None)
+    return out
+
+
 def scan(docs: DataFrame, text_col: str = "text", known: DataFrame | None = None, notices: dict[str, str] | None = None) -> DataFrame:
     """``docs`` with canonical_digest, n_words, license_id and notice_ids.
 
@@ -102,24 +183,29 @@ def scan(docs: DataFrame, text_col: str = "text", known: DataFrame | None = None
     smallest is taken.
     """
     spark = docs.sparkSession
-    known = known_table(spark, LICENSES) if known is None else known
+    known = known_digests(spark) if known is None else known
     known = known.groupBy(F.col("digest").alias("_digest")).agg(F.min("license_id").alias("_license_id"))
     if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    notices = NOTICES if notices is None else notices
-    forms = {r["n"]: r["c"] for r in literal_table(spark, sorted(notices.items()), ["n", "t"]).select("n", F.array_join(canonical_lines(F.col("t")), " ").alias("c")).collect()}
-    by_form = F.create_map(*[F.lit(x) for n, c in forms.items() for x in (c, n)])
+    forms = _notice_forms(spark, usual_notices() if notices is None else list(notices.items()))
+    texts = F.split(F.lit("\n".join(forms)), "\n", -1)
+    by_form = F.map_from_arrays(texts, F.split(F.lit("\n".join(forms.values())), "\n", -1))
+    longest = max(map(len, forms), default=0)
+    hints = [h for h in ("licens", " under ") if any(h in c for c in forms)]
+    sure = all(any(h in c for h in hints) for c in forms)
     # The row travels as one column, so that its names meet none of ours.
     kept = [c for c in docs.columns if c not in ("canonical_digest", "n_words", "license_id", "notice_ids")]
     row = F.struct(*[F.col(f"`{c}`") for c in kept])
     out = docs.select(row.alias("_row"), canonical_lines(text_or_empty(F.col(f"`{text_col}`"))).alias("_lines"))
     form = F.array_join("_lines", " ")
-    found = F.array_intersect("_lines", F.array(*[F.lit(c) for c in forms.values()]))
+    # Few lines can be a notice; without one the set of notices need not be made for the row.
+    short = F.filter("_lines", lambda x: (F.char_length(x) <= longest) & (reduce(or_, [x.contains(h) for h in hints]) if sure and hints else F.lit(True)))
+    found = F.when(F.size(short) > 0, F.array_intersect(short, texts)).otherwise(F.array().cast("array<string>"))
     out = out.select(
         "_row",
         F.sha2(form, 256).alias("canonical_digest"),
         F.when(form == "", F.lit(0)).otherwise(F.char_length(form) - F.char_length(F.replace(form, F.lit(" "), F.lit(""))) + 1).cast("long").alias("n_words"),
-        F.array_join(F.sort_array(F.transform(found, lambda x: F.element_at(by_form, x))), ",").alias("notice_ids"),
+        F.array_join(F.sort_array(F.array_distinct(F.transform(found, lambda x: F.element_at(by_form, x)))), ",").alias("notice_ids"),
     )
     joined = out.join(known, (F.col("canonical_digest") == F.col("_digest")) & (F.col("n_words") > 0), "left")
     return joined.select("_row.*", "canonical_digest", "n_words", F.col("_license_id").alias("license_id"), "notice_ids")

@@ -1,4 +1,5 @@
 import hashlib
+from pathlib import Path
 
 import pytest
 
@@ -82,6 +83,24 @@ def test_license_texts(spark):
     assert licenses.scan(fixtures.frame(spark)).count() == len(fixtures.rows())
 
 
+def test_common_licenses_and_notices(spark):
+    top = Path(licenses.__file__).with_name("known_licenses")
+    files = sorted(top.glob("*.txt"))
+    assert sorted(map(tuple, licenses.text_digests(spark).distinct().collect())) == sorted(tuple(x.split("\t")) for x in top.with_suffix(".tsv").read_text().splitlines())
+    got = scan(spark, ["Copyright (c) 2020 Some One\n" + p.read_text().replace("\n", "\r\n").upper() for p in files])
+    assert [x for x, _ in got] == [p.stem.partition("@")[0] for p in files]
+    lines = {
+        "Licensed under the MIT License": "MIT",
+        "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+        "This program is licensed under the GNU General Public License v2.0.": "GPL-2.0",
+        "This work is licensed under a tree.": "",
+        "This work is licensed under the Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+        "Released under CC0 1.0\nReleased under the CC0 1.0 Universal License\nlicensed under the EPL 2.0": "CC0-1.0,EPL-2.0",
+    }
+    assert scan(spark, list(lines)) == [(None, x) for x in lines.values()]
+
+
 def test_empty_form_matches_nothing(spark):
     known = spark.createDataFrame([("X", hashlib.sha256(b"").hexdigest())], "license_id string, digest string")
     assert licenses.scan(fixtures.frame(spark), known=known).where("license_id is not null").count() == 0
