@@ -204,10 +204,10 @@ def dry_run_limit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gbt_predict(spark: SparkSession, sf: str) -> DataFrame:
-    """Train on the entities outside validation, then give every pair its probability. Few trees, for tests."""
+    """Train on the entities outside validation, then give every pair its probability."""
     e, topk = _both(spark, sf)
     rows = materialize(features.feature_rows(materialize(topk, "topk"), e, fixtures.ground_truth(spark, sf)), "feature-rows")
-    fitted = model.fit(rows.where(~model.in_validation(F.col("source1_entity_id"))), max_iter=5, max_depth=4)
+    fitted = model.fit(rows.where(~model.in_validation(F.col("source1_entity_id"))))
     return model.predict_proba(fitted, rows).select(*KEYS, "label", "prob")
 
 

@@ -1,9 +1,11 @@
+import inspect
 import subprocess
 import sys
 
 import pytest
 
 import __spark_entry__ as entry
+from tessera.operators import model
 from tessera.plans import oracle, queries
 from tests.oracle import compare
 
@@ -18,6 +20,20 @@ def test_query_against_sql(spark, name):
         assert queries.QUERIES[name](spark, SF).count() > 0
 
 
+def test_gbt_predict_trains_the_whole_model(spark, monkeypatch):
+    asked, fit = [], model.fit
+
+    def small(rows, *args, **named):
+        bound = inspect.signature(fit).bind(rows, *args, **named)
+        bound.apply_defaults()
+        asked.append((bound.arguments["max_iter"], bound.arguments["max_depth"], bound.arguments["step"]))
+        return fit(rows, max_iter=1, max_depth=2)
+
+    monkeypatch.setattr(model, "fit", small)
+    assert queries.gbt_predict(spark, SF).columns == ["source1_entity_id", "candidate_entity_id", "label", "prob"]
+    assert asked == [(200, 6, 0.05)]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
