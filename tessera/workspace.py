@@ -77,20 +77,23 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
 
 
 def tidy(spark: SparkSession) -> None:
-    """Let the driver notice plans that nothing refers to, so that their shuffle files go."""
+    """Let the driver notice plans that nothing refers to, so that Spark's cleaner drops their shuffle files.
+
+    For once or twice in a long operator, between phases that move texts.
+    """
     gc.collect()
     spark._jvm.System.gc()
 
 
 def release(*frames: DataFrame, part: str = "") -> None:
-    """Delete tables from :func:`materialize` that nothing lazy reads any more, or a part of them.
-
-    What was shuffled for them is free too, once the driver notices: Spark's
-    cleaner drops shuffle files when their plans are garbage.
-    """
+    """Delete tables from :func:`materialize` that nothing lazy reads any more, or a part of them."""
     for df in frames:
         drop_path(df.sparkSession, df._tessera_path + part)
-    tidy(frames[0].sparkSession)
+
+
+def dropped_table(spark: SparkSession, name: str) -> None:
+    """Forget a table of the session's catalog; its files are another matter."""
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
