@@ -10,7 +10,8 @@ and single line feeds between other characters: before a space, on both sides
 of a line feed, and between a letter, a digit and any other sign where no
 apostrophe comes first. The ids of a text are the ids of the pieces between
 such places. Pieces repeat, so each is encoded once and found again by a
-64-bit hash, all in arrays. Where white space is not so simple, or a special
+64-bit hash, all in arrays; the bytes of a found piece are compared with those
+that were encoded, and a text with another piece of that hash is encoded whole. Where white space is not so simple, or a special
 token may stand, the text is encoded as a whole.
 """
 
@@ -20,7 +21,7 @@ import os
 
 import numpy as np
 
-from tessera.llm.hashing import lean, span_hashes
+from tessera.llm.hashing import equal_spans, lean, span_hashes
 
 _SPACE, _FEED, _LETTER, _DIGIT, _SIGN, _APOSTROPHE, _HIGH = range(7)
 
@@ -108,6 +109,8 @@ class Encoder:
         self.keys = np.empty(0, np.uint64)
         self.starts = self.counts = np.empty(0, np.int64)
         self.store, self.used = np.empty(1 << 16, np.uint32), 0
+        self.raw, self.raw_used = np.zeros(1 << 16, np.uint8), 0  # the pieces' bytes
+        self.raw_starts = self.raw_sizes = np.empty(0, np.int64)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -163,6 +166,13 @@ class Encoder:
         self.keys = np.insert(self.keys, at, keys)
         self.starts = np.insert(self.starts, at, starts[back])
         self.counts = np.insert(self.counts, at, counts[back])
+        raw, sizes = np.frombuffer(b"".join(pieces), np.uint8), np.array([len(p) for p in pieces], np.int64)
+        if self.raw_used + len(raw) + 8 > len(self.raw):
+            self.raw = np.concatenate([self.raw[: self.raw_used], np.zeros(self.raw_used + 2 * len(raw) + 8, np.uint8)])
+        self.raw[self.raw_used : self.raw_used + len(raw)] = raw
+        self.raw_starts = np.insert(self.raw_starts, at, np.cumsum(sizes) - sizes + self.raw_used)
+        self.raw_sizes = np.insert(self.raw_sizes, at, sizes)
+        self.raw_used += len(raw)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.keys) > self.cache_pieces:
@@ -196,7 +206,8 @@ class Encoder:
         stops = np.append(starts[1:], len(b))
         real = b[starts] != 0
         starts, stops = starts[real], stops[real]
-        hashes = span_hashes(b.astype(np.uint64), starts, stops)
+        padded = data + b"\0" * 8
+        hashes = span_hashes(padded, starts, stops)
         unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
         where = np.searchsorted(self.keys, unique)
         known = self.keys[np.minimum(where, len(self.keys) - 1)] == unique if len(self.keys) else np.zeros(len(unique), bool)
@@ -204,6 +215,8 @@ class Encoder:
             new = np.flatnonzero(~known)
             self._learn(unique[new], [data[x:y] for x, y in zip(starts[first[new]].tolist(), stops[first[new]].tolist())])
             where = np.searchsorted(self.keys, unique)
+        found = where[back]
+        differ = ~equal_spans(padded, starts, stops - starts, self.raw, self.raw_starts[found], self.raw_sizes[found])
         per = self.counts[where][back]
         upto = np.cumsum(per)
         ids = self.store[np.arange(upto[-1]) + np.repeat(self.starts[where][back] - (upto - per), per)]
@@ -211,6 +224,9 @@ class Encoder:
         bounds = np.concatenate([[0], upto])[np.searchsorted(starts, zeros)]
         for k, i in enumerate(even):
             out[i] = ids[bounds[k] : bounds[k + 1]]
+        if differ.any():
+            for k in set((np.searchsorted(zeros, starts[differ]) - 1).tolist()):
+                out[even[k]] = self._whole([texts[even[k]]])[0]
         return out
 
 

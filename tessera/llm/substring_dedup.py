@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.hashing import lean, mix64, raw_slice, settle, span_hashes, word_hashes
+from tessera.llm.hashing import lean, mix64, raw_slice, run_hashes, settle, word_hashes
 from tessera.llm.native import documents, text_or_empty
 from tessera.workspace import drop_path, materialize, new_path, release
 
@@ -65,9 +65,7 @@ class Windows:
         if n <= 0:
             none = np.empty(0, np.uint64)
             return none, none, none.astype(np.int64), none.astype(np.int64)
-        total = np.zeros(len(words) - self.gram + 1, np.uint64)
-        for i in range(self.gram):
-            total = mix64(total + words[i : len(words) - self.gram + 1 + i] * _SALT[0])
+        total = run_hashes(words, self.gram)
         low = _U((1 << 28) - 1)
         best = (total & ~low) | np.arange(len(total), dtype=np.uint64)
         width, reach = self.window - self.gram + 1, 1
@@ -78,11 +76,14 @@ class Windows:
         place = (best & low).astype(np.int64)
         starts = np.flatnonzero(np.diff(place, prepend=-1))
         counts = np.diff(np.append(starts, n))
-        spans = span_hashes(words, starts, starts + counts + self.window - 1)
+        # Its first and its last window cover a unit; salted, as they share no step with the grams.
+        windows = self.hashes(words)
+        spans = mix64(windows[starts] * _SALT[0] + counts.astype(np.uint64)) + mix64(windows[starts + counts - 1] ^ _SALT[1])
         return total[place[starts]], mix64(spans + (place[starts] - starts).astype(np.uint64)), starts, counts
 
-    def hashes(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        return span_hashes(words, starts, starts + self.window)
+    def hashes(self, words: np.ndarray) -> np.ndarray:
+        """Of each window."""
+        return run_hashes(mix64(words ^ _SALT[1]), self.window)
 
 
 def _first_of_equal(batches: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]]:
@@ -230,7 +231,7 @@ def contested_windows(contested: DataFrame, corpus: DataFrame, windows: Windows,
                     mh, fresh, at = (units.field(k).to_numpy() for k in range(3))
                     counts = (at >> 16) & 255
                     starts = np.repeat(at >> 24, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                    held.append((windows.hashes(words, starts).view(np.int64), np.repeat(mh, counts), np.full(len(starts), docs_[i]), starts << 24 | 1 << 16 | ths[i]))
+                    held.append((windows.hashes(words)[starts].view(np.int64), np.repeat(mh, counts), np.full(len(starts), docs_[i]), starts << 24 | 1 << 16 | ths[i]))
                     fresh_of.append(np.repeat(fresh, counts))
                 if held:
                     a, b, doc, at = (np.concatenate(c) for c in zip(*held))

@@ -5,6 +5,14 @@ LINE = "This very line is long enough to count as a repeated line."
 WORDS = " ".join(f"w{i}" for i in range(40))
 
 
+def doubled(n):
+    """Two words in which sums of letters times powers of an odd base agree modulo 2**64."""
+    a, swap = "a", str.maketrans("ab", "ba")
+    while len(a) < n:
+        a += a.translate(swap)
+    return a, a.translate(swap)
+
+
 def rows():
     texts = [
         None,
