@@ -28,24 +28,27 @@ def brute(rows, min_chars=40, min_docs=5):
 
 
 def got(df):
-    return sorted(((r.doc_id, r._n_lines, r._n_dropped, r.text) for r in df.collect()), key=str)
+    return sorted(((r.doc_id, r.lines, r.dropped, r.text) for r in df.collect()), key=str)
+
+
+COUNTS = ("lines", "dropped")
 
 
 @pytest.mark.parametrize("batches,fanout", [(1, 4), (4, 2), (5, 2)])
 def test_lines_against_brute_force(spark, batches, fanout):
     for docs in (fixtures.frame(spark), fixtures.small(spark)):
         rows = [(r.doc_id, r.text) for r in docs.collect()]
-        out = line_dedup.dedup_lines(docs, batches=batches, fanout=fanout)
+        out = line_dedup.dedup_lines(docs, batches=batches, fanout=fanout, counts=COUNTS)
         assert out.columns[: len(docs.columns)] == docs.columns
         assert got(out) == brute(rows)
-    assert got(line_dedup.dedup_lines(fixtures.frame(spark, []))) == []
+    assert got(line_dedup.dedup_lines(fixtures.frame(spark, []), counts=COUNTS)) == []
 
 
 def test_lines_of_odd_rows(spark):
     x = fixtures.LINE
     rows = [(1, x), (1, x), (None, x), (2, x + "\n" + x), (3, "a\n" + x), (4, x), (5, x.replace("T", "t")), (5, "É" * 45), (6, "é" * 45)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert got(line_dedup.dedup_lines(docs)) == brute(rows)
+    assert got(line_dedup.dedup_lines(docs, counts=COUNTS)) == brute(rows)
 
 
 def test_runs_are_levelled(spark):
@@ -54,8 +57,17 @@ def test_runs_are_levelled(spark):
         docs = spark.createDataFrame([(10 * k + i, f"{fixtures.LINE}\n{i} {fixtures.LINE}") for i in range(3)], "doc_id long, text string")
         runs.add(line_dedup.line_table(docs))
     assert [len(x) for x in runs.levels] == [1, 0, 1]
-    counts = sorted((r.n_docs, r.max_doc) for r in runs.rows().collect())
-    assert counts == [(5, 40), (5, 41), (5, 42), (15, 42)]
+    # Only the run that first held a line names its keeper, the largest id of that batch.
+    assert sorted(r.keeper for r in runs.repeated(5).collect()) == [0, 1, 2, 2]
+    assert [r.keeper for r in runs._tables()[0].collect()] == [None] * 4
+    runs.drop()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("run_")]
+
+
+def test_clashing_names_pass_through(spark):
+    docs = fixtures.frame(spark).selectExpr("*", "7 as lines", "8 as gone", "9 as _n_lines", "10 as h1", "11 as `a.b`")
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == docs.columns and {(r.lines, r.gone, r._n_lines, r.h1, r["a.b"]) for r in out.collect()} == {(7, 8, 9, 10, 11)}
 
 
 def test_lines_and_licenses_against_sql(spark):
