@@ -1,91 +1,159 @@
 """Mixing sources to target weights by a hypergeometric splitting tree.
 
-Each source is cut into blocks of documents by a keyed hash. How many blocks
-the mix draws of each source follows from its target: every block once for
-each whole time that the target holds the source, then blocks in a permuted
-order up to the remainder, the last of them in part. These exact quotas are
-parted among the output shards by a binary tree: at each node the left half
-of the shards gets a multivariate-hypergeometric draw of the quotas, the right
-half the rest. A shard takes the next blocks of each source's permuted order,
+Each source is cut into ``BLOCKS`` blocks of documents by a keyed hash. How
+many blocks the mix draws of each source follows from its target: every block
+once for each whole time that the target holds the source, then blocks in a
+permuted order up to the remainder, the last of them in part. These exact
+quotas are parted among the output shards by a binary tree: at each node the
+left half of the shards gets a multivariate-hypergeometric draw of the quotas,
+the right half the rest. A shard takes the next blocks of the permuted order,
 so shards are disjoint, and shuffles its documents locally by a hash.
 
-The data is never sorted or ranked as a whole. What reaches the driver is a
-row for each source and for each block, ``MAX_BLOCKS`` blocks and one more for
-each source at most; a source with a third of all rows has many blocks.
+The tree works on quotas of ``GROUPS`` groups of sources. Within a group all
+draws stand in one permuted order, and the next ones of a random order are a
+hypergeometric draw of its sources too, so the shares are the same as those of
+a tree over sources. The top of the tree is parted at the driver, its subtrees
+in tasks.
+
+The data is never sorted or ranked as a whole, and there may be any number of
+sources: sources, blocks and draws are tables. What reaches the driver is a
+count for each group, and sums. A source with a third of all rows meets its
+blocks, not one row, in the join.
 
 Defined results: the size of a text is its number of words, 0 for null. A null
 source is a source, the last in order. A source of size 0 gets target 0 and no
-draws. Rows that share a doc_id are drawn together. Reruns agree, as all draws
-come from ``seed`` and hashes of the ids.
+draws. Rows that share a doc_id, or have none, are drawn together with others
+of that id and source. Reruns agree, as all draws come from ``seed`` and hashes
+of the ids. An empty table gives no rows. Other columns pass through, whatever
+their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.native import documents, text_or_empty
 from tessera.workspace import materialize, release
 
 SEED = 17
-BLOCK_DOCS = 512
-MAX_BLOCKS = 65_536
+#: Blocks of a source; groups of sources in the tree; subtrees that tasks part.
+BLOCKS = 1024
+GROUPS = 256
+SUBTREES = 64
 MAX_REPEAT = 3
-#: Tables of the plan up to this many rows are broadcast.
-BROADCAST_ROWS = 200_000
+#: Words of a shard, and the most partitions that shards are written in.
+SHARD_WORDS = 1 << 24
+PARTITIONS = 20_000
+#: A table of blocks of up to this many rows, 300 bytes each at most, is broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def cycle_weights(n: int) -> list[float]:
-    return [float(i % 3 + 1) for i in range(n)]
+def cycle_weights(idx: Column) -> Column:
+    return (idx % 3 + 1).cast("double")
+
+
+def rank_sources(rows: DataFrame) -> DataFrame:
+    """(source, source_size, idx), written: sources in order of code points, null last.
+
+    Sources are ranged into partitions and numbered there; what goes over all
+    of them is a row for each partition.
+    """
+    found = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"))
+    order = [F.col("source").isNull(), F.col("source")]
+    parts = materialize(found.repartitionByRange(*order).withColumn("pid", F.spark_partition_id()), "ranged-sources")
+    counts = parts.groupBy("pid").agg(F.count("*").alias("n"))
+    before = counts.select("pid", (F.sum("n").over(Window.orderBy("pid")) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("pid").orderBy(*order)) - 1
+    return materialize(parts.withColumn("place", place).join(F.broadcast(before), "pid").select("source", "source_size", (F.col("before") + F.col("place")).alias("idx")), "sources")
+
+
+def water_fill(sources: DataFrame, weights: Callable[[Column], Column] = cycle_weights, most: float = MAX_REPEAT) -> DataFrame:
+    """``sources`` with target: shares of the total by weight, none above ``most`` times its size; the excess is shared again.
+
+    Below a level each source has its weight's share of it. The level rises as
+    sources reach their bound; a round is one sum over the sources.
+    """
+    weight, bound = weights(F.col("idx")), F.lit(float(most)) * F.col("source_size")
+    first = sources.agg(F.sum("source_size").alias("total"), F.sum(weight).alias("scale")).first()
+    if not first.total:
+        return sources.withColumn("target", F.lit(0.0))
+    level, full = first.total / first.scale, -1
+    while True:
+        over = F.lit(level) * weight > bound
+        now = sources.agg(F.sum(F.when(over, bound)).alias("held"), F.sum(F.when(~over, weight)).alias("scale"), F.count(F.when(over, 1)).alias("full")).first()
+        if now.full == full or not now.scale:
+            return sources.withColumn("target", F.when(over, bound).otherwise(F.lit(level) * weight))
+        full, level = now.full, (first.total - (now.held or 0.0)) / now.scale
+
+
+def _draw(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """A hypergeometric draw; of populations that the generator does not take, its normal form."""
+    if good + bad < 10**9:
+        return int(rng.hypergeometric(good, bad, n)) if n else 0
+    p = good / (good + bad)
+    x = round(rng.normal(n * p, (n * p * (1 - p) * (good + bad - n) / (good + bad - 1)) ** 0.5))
+    return min(max(x, n - bad, 0), good, n)
+
+
+def _left(have: np.ndarray, lo: int, hi: int, seed: int) -> np.ndarray:
+    """What the left half of a node's shards gets."""
+    rng = np.random.default_rng([seed, lo, hi])
+    rest, n = int(have.sum()), int(have.sum()) * ((lo + hi) // 2 - lo) // (hi - lo)
+    out = np.zeros_like(have)
+    for i, good in enumerate(have.tolist()):
+        rest -= good
+        out[i] = _draw(rng, good, rest, n)
+        n -= int(out[i])
+    return out
 
 
-def water_fill(sizes: list[int], weights: list[float], most: float = MAX_REPEAT) -> list[float]:
-    """Shares of the total by weight, none above ``most`` times its size; the excess is shared again."""
-    total, targets, active = float(sum(sizes)), [0.0] * len(sizes), set(range(len(sizes)))
-    while active:
-        left = total - sum(t for i, t in enumerate(targets) if i not in active)
-        scale = sum(weights[i] for i in active)
-        over = {i for i in active if left * weights[i] / scale > most * sizes[i]}
-        for i in over or active:
-            targets[i] = float(most * sizes[i]) if over else left * weights[i] / scale
-        if not over:
-            break
-        active -= over
-    return targets
+def split_node(lo: int, hi: int, have: np.ndarray, first: np.ndarray, seed: int, depth: int = -1) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The nodes ``depth`` levels down, or the shards: (from, to, quotas, the quotas' first draws)."""
+    if hi - lo == 1 or depth == 0:
+        yield lo, hi, have, first
+        return
+    mid, left = (lo + hi) // 2, _left(have, lo, hi, seed)
+    yield from split_node(lo, mid, left, first, seed, depth - 1)
+    yield from split_node(mid, hi, have - left, first + left, seed, depth - 1)
 
 
 def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
-    """Quotas of each shard: a (shards, sources) array that sums to ``quotas``."""
-    out = np.zeros((shards, len(quotas)), np.int64)
-
-    def part(lo: int, hi: int, have: np.ndarray) -> None:
-        if hi - lo == 1:
-            out[lo] = have
-            return
-        mid = (lo + hi) // 2
-        draws = int(have.sum()) * (mid - lo) // (hi - lo)
-        left = np.random.default_rng([seed, lo, hi]).multivariate_hypergeometric(have, draws, method="marginals")
-        part(lo, mid, left)
-        part(mid, hi, have - left)
-
-    part(0, shards, quotas.astype(np.int64))
-    return out
+    """Quotas of each shard: a (shards, groups) array that sums to ``quotas``."""
+    quotas = np.asarray(quotas, np.int64)
+    return np.stack([have for _, _, have, _ in split_node(0, shards, quotas, np.zeros_like(quotas), seed)])
+
+
+def shard_ranges(spark: SparkSession, quotas: np.ndarray, shards: int, seed: int) -> DataFrame:
+    """(grp, shard, first, n): the draws of a group's permuted order that a shard takes."""
+    nodes = list(split_node(0, shards, quotas, np.zeros_like(quotas), seed, SUBTREES.bit_length() - 1))
+    table = pa.table({"lo": pa.array([x[0] for x in nodes], pa.int64()), "hi": pa.array([x[1] for x in nodes], pa.int64()), "have": pa.array([x[2].tolist() for x in nodes], pa.list_(pa.int64())), "first": pa.array([x[3].tolist() for x in nodes], pa.list_(pa.int64()))})
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node in batch.to_pylist():
+                for lo, _, have, first in split_node(node["lo"], node["hi"], np.array(node["have"], np.int64), np.array(node["first"], np.int64), seed):
+                    some = np.flatnonzero(have)
+                    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(np.full(len(some), lo)), pa.array(first[some]), pa.array(have[some])], ["grp", "shard", "first", "n"])
+
+    return spark.createDataFrame(table).repartition("lo").mapInArrow(part, "grp long, shard long, first long, n long")
 
 
 @dataclass
 class MixPlan:
-    """Sources in order, and for each (source index, block) its draws."""
+    """A row for each block: source, _block, source_size, target, draws: array of (shard, turn, upto)."""
 
-    sources: DataFrame  # source, idx, source_size, target, n_blocks
-    units: DataFrame  # idx, block, draws: array of (shard, turn, upto)
+    blocks: DataFrame
+    n_blocks: int
     shards: int
     seed: int
 
@@ -96,92 +164,74 @@ def keyed(docs: DataFrame, seed: int, id_col: str = "doc_id", text_col: str = "t
     return docs.select(row.alias("_row"), F.col(f"`{source_col}`").cast("string").alias("_source"), word_count(text_or_empty(F.col(f"`{text_col}`"))).alias("_size"), F.xxhash64(F.lit(seed), F.col(f"`{id_col}`").cast("long")).alias("_key"))
 
 
-def _table(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
-    cols = zip(*rows) if rows else [[]] * len(schema)
-    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema))
-
-
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _block(blocks: int) -> Column:
+    return F.pmod("_key", F.lit(blocks)).cast("int").alias("_block")
 
 
-def plan_mix(rows: DataFrame, shards: int = 32, seed: int = SEED, weights=cycle_weights) -> MixPlan:
+def plan_mix(rows: DataFrame, shards: int | None = None, seed: int = SEED, weights: Callable[[Column], Column] = cycle_weights, blocks: int | None = None) -> MixPlan:
     """The plan for rows of :func:`keyed`, which are read several times."""
-    spark = rows.sparkSession
-    found = rows.groupBy("_source").agg(F.sum("_size").alias("words"), F.count("*").alias("docs")).collect()
-    found.sort(key=lambda r: (r._source is None, r._source or ""))
-    sizes = [r.words for r in found]
-    targets = water_fill(sizes, weights(len(found)))
-    scale = max(1.0, sum(r.docs for r in found) / BLOCK_DOCS / MAX_BLOCKS)
-    n_blocks = [max(1, round(r.docs / BLOCK_DOCS / scale)) for r in found]
-    schema = pa.schema([("source", pa.string()), ("idx", pa.int32()), ("source_size", pa.int64()), ("target", pa.float64()), ("n_blocks", pa.int32())])
-    sources = _small(_table(spark, [(r._source, i, sizes[i], targets[i], n_blocks[i]) for i, r in enumerate(found)], schema), len(found))
-    placed = _place(rows, sources)
-    words: list[np.ndarray] = [np.zeros(n, np.int64) for n in n_blocks]
-    for r in placed.groupBy("idx", "_block").agg(F.sum("_size").alias("words")).collect():
-        words[r.idx][r._block] = r.words
-
-    orders, whole, rest, cut = [], [], [], []
-    for i, block_words in enumerate(words):
-        times = int(targets[i] // sizes[i]) if sizes[i] else 0
-        left = targets[i] - times * sizes[i]
-        order = np.random.default_rng([seed, i]).permutation(len(block_words))
-        upto = np.cumsum(block_words[order])
-        n = int(np.searchsorted(upto, left, side="right")) if sizes[i] else 0
-        orders.append(order)
-        whole.append(times)
-        rest.append(n)
-        if n < len(order) and sizes[i]:
-            cut.append((i, int(order[n]), left - (float(upto[n - 1]) if n else 0.0)))
+    spark, blocks = rows.sparkSession, blocks or BLOCKS
+    sources = water_fill(rank_sources(rows), weights)
+    size, target = F.col("source_size"), F.col("target")
+    times = F.when(size > 0, F.floor(target / size)).otherwise(0).cast("int")
+    sources = materialize(sources.withColumn("times", times).withColumn("left", target - F.col("times") * size), "targets")
+    if shards is None:
+        words = sources.agg(F.sum("target")).first()[0] or 0.0
+        shards = max(1, int(-(-words // SHARD_WORDS)))
+
+    # The blocks of a source in permuted order: whole ones up to what is left, then one in part.
+    held = rows.groupBy(F.col("_source"), _block(blocks)).agg(F.sum("_size").alias("words"))
+    held = held.join(sources, F.col("_source").eqNullSafe(F.col("source"))).drop("_source")
+    order = Window.partitionBy("idx").orderBy(F.xxhash64(F.lit(seed), "idx", "_block"), "_block")
+    upto = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    held = held.withColumn("upto", upto).withColumn("whole", (F.col("upto") <= F.col("left")) & (size > 0))
+    before = F.col("upto") - F.col("words")
+    held = held.withColumn("room", F.when((F.col("upto") > F.col("left")) & (before <= F.col("left")), F.col("left") - before))
+    held = materialize(held, "blocks")
     # The block that is drawn in part: its documents in key order, up to the words that are left.
-    limits: dict[int, tuple[int, int]] = {}
-    if cut:
-        from pyspark.sql import Window
-
-        edge = _small(_table(spark, cut, pa.schema([("idx", pa.int32()), ("_block", pa.int32()), ("words_left", pa.float64())])), len(cut))
-        near = placed.join(edge, ["idx", "_block"]).withColumn("_upto", F.sum("_size").over(Window.partitionBy("idx").orderBy("_key")))
-        best = near.where(F.col("_upto") - F.col("_size") / 2 <= F.col("words_left")).groupBy("idx", "_block").agg(F.max("_key").alias("k"))
-        limits = {r.idx: (r._block, r.k) for r in best.collect()}
-
-    quotas = np.array([whole[i] * len(orders[i]) + rest[i] + (i in limits) for i in range(len(found))], np.int64)
-    shares = split_quotas(quotas, shards, seed) if len(quotas) else np.zeros((shards, 0), np.int64)
-    units: dict[tuple[int, int], list[tuple[int, int, int | None]]] = {}
-    for i in range(len(found)):
-        to = np.repeat(np.arange(shards), shares[:, i])
-        n = len(orders[i])
-        for u in range(int(quotas[i])):
-            if i in limits and u == quotas[i] - 1:
-                block, upto_key = limits[i]
-            else:
-                block, upto_key = int(orders[i][u % n]), None
-            units.setdefault((i, block), []).append((int(to[u]), u // n, upto_key))
-    draw = pa.struct([("shard", pa.int32()), ("turn", pa.int32()), ("upto", pa.int64())])
-    rows_ = [(i, b, [dict(zip(("shard", "turn", "upto"), x)) for x in d]) for (i, b), d in units.items()]
-    table = _table(spark, rows_, pa.schema([("idx", pa.int32()), ("_block", pa.int32()), ("draws", pa.list_(draw))]))
-    return MixPlan(sources, _small(table, len(units)), shards, seed)
-
-
-def _place(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    met = rows.join(sources, rows._source.eqNullSafe(sources.source))
-    return met.withColumn("_block", F.pmod("_key", F.col("n_blocks")).cast("int"))
+    cut = held.where("room is not null").select("source", F.col("_block").alias("b"), "idx", "room")
+    near = rows.select("_source", "_size", "_key", _block(blocks)).join(cut, F.col("_source").eqNullSafe(F.col("source")) & (F.col("_block") == F.col("b")))
+    near = near.withColumn("_upto", F.sum("_size").over(Window.partitionBy("idx").orderBy("_key")))
+    last = near.where(F.col("_upto") - F.col("_size") / 2 <= F.col("room")).groupBy("idx", "_block").agg(F.max("_key").alias("upto_key"))
+    held = held.join(last, ["idx", "_block"], "left")
+    held = materialize(held.withColumn("n_draws", F.col("times") + (F.col("whole") | F.col("upto_key").isNotNull()).cast("int")), "block-draws")
+
+    turns = held.where("n_draws > 0").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("n_draws") - 1)))
+    partial = F.when(F.col("turn") == F.col("times"), F.col("upto_key"))
+    turns = turns.select("idx", "_block", "turn", partial.alias("upto"), F.pmod(F.xxhash64(F.lit(seed), "idx"), F.lit(GROUPS)).alias("grp"))
+    in_group = Window.partitionBy("grp").orderBy(F.xxhash64(F.lit(seed + 2), "idx", "_block", "turn"), "idx", "_block", "turn")
+    turns = materialize(turns.withColumn("place", (F.row_number().over(in_group) - 1).cast("long")), "turns")
+    quotas = np.zeros(GROUPS, np.int64)
+    for r in turns.groupBy("grp").count().collect():
+        quotas[r.grp] = r["count"]
+    ranges = shard_ranges(spark, quotas, shards, seed)
+    places = ranges.select("grp", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("place"))
+    to = turns.join(places, ["grp", "place"]).groupBy("idx", "_block").agg(F.sort_array(F.collect_list(F.struct("turn", "shard", "upto"))).alias("draws"))
+    out = materialize(held.join(to, ["idx", "_block"], "left").select("source", "_block", "source_size", "target", "draws"), "mix-plan")
+    release(held, turns)
+    return MixPlan(out, blocks, shards, seed)
 
 
 def draws(rows: DataFrame, plan: MixPlan) -> DataFrame:
     """(_row, _size, source_size, target, _key, _draws): rows of :func:`keyed` with the draws that take them."""
-    met = _place(rows, plan.sources).join(plan.units, ["idx", "_block"], "left")
+    of_block = plan.blocks.withColumnRenamed("_block", "_b")
+    of_block = F.broadcast(of_block) if of_block.count() <= BROADCAST_ROWS else of_block
+    met = rows.withColumn("_block", _block(plan.n_blocks)).join(of_block, F.col("_source").eqNullSafe(F.col("source")) & (F.col("_block") == F.col("_b")))
     taken = F.filter("draws", lambda d: d["upto"].isNull() | (F.col("_key") <= d["upto"]))
     return met.select("_row", "_size", "source_size", "target", "_key", F.when(F.col("_size") > 0, taken).alias("_draws"))
 
 
-def mix(docs: DataFrame, shards: int = 32, seed: int = SEED, weights=cycle_weights) -> DataFrame:
-    """The columns of ``docs``, a row for each draw, partitioned by shard and shuffled within it."""
+def mix(docs: DataFrame, shards: int | None = None, seed: int = SEED, weights: Callable[[Column], Column] = cycle_weights) -> DataFrame:
+    """The columns of ``docs``, a row for each draw, shards in order in the partitions and shuffled within each."""
     rows = keyed(docs, seed)
     slim = materialize(rows.drop("_row"), "sizes")
     plan = plan_mix(slim, shards, seed, weights)
     release(slim)
     drawn = draws(rows, plan).select("_row", "_key", F.explode("_draws").alias("_d"))
     drawn = drawn.withColumn("_order", F.xxhash64(F.lit(seed + 1), "_key", "_d.turn"))
-    return drawn.repartition(shards, "_d.shard").sortWithinPartitions("_d.shard", "_order").select("_row.*")
+    each = -(-plan.shards // PARTITIONS)
+    dealt = drawn.repartitionById(-(-plan.shards // each), F.floor(F.col("_d.shard") / each).cast("int"))
+    return dealt.sortWithinPartitions("_d.shard", "_order").select("_row.*")
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

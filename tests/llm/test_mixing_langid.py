@@ -42,9 +42,9 @@ def check(rows, texts):
         assert abs(sum(r.taken for r in by[s]) - target) <= longest + 1
 
 
-@pytest.mark.parametrize("blocks", [2, 512])
+@pytest.mark.parametrize("blocks", [2, 1024])
 def test_mix_meets_targets(spark, monkeypatch, blocks):
-    monkeypatch.setattr(mixing, "BLOCK_DOCS", blocks)
+    monkeypatch.setattr(mixing, "BLOCKS", blocks)
     for docs in (fixtures.frame(spark), fixtures.small(spark)):
         keyed = mixing.keyed(docs, 17)
         rows = mixing.draws(keyed, mixing.plan_mix(keyed))
@@ -69,6 +69,35 @@ def test_mix_rows_are_the_draws(spark):
     assert mixing.mix(fixtures.frame(spark, []), shards=5).count() == 0
 
 
+def test_shards_are_written_in_order(spark):
+    docs = fixtures.small(spark)
+    keyed = mixing.keyed(docs, 17)
+    plan = mixing.plan_mix(keyed, shards=5)
+    want: dict = {}
+    for r in mixing.draws(keyed, plan).collect():
+        for d in r._draws or []:
+            want.setdefault(d.shard, []).append(r._row.doc_id)
+    parts = [[r.doc_id for r in part] for part in mixing.mix(docs, shards=5).rdd.glom().collect()]
+    assert [sorted(p) for p in parts] == [sorted(want.get(i, [])) for i in range(5)] and all(parts)
+    assert mixing.plan_mix(keyed, shards=None).shards == 1
+
+
+def test_mix_of_odd_ids(spark):
+    rows = [(None, "a b", None), (None, "c", "x"), (1, "a", "x"), (1, "b c", "x"), (2, None, "y"), (3, "", "y"), (4, " ".join("z" * 9), "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix(docs).collect()
+    assert {tuple(r) for r in mixed} <= set(rows) and all(mixed.count(r) <= 3 for r in mixed)
+    keyed = mixing.keyed(docs, 17)
+    assert sorted((r.source or "~", r.target) for r in mixing.plan_mix(keyed).blocks.select("source", "target").distinct().collect()) == sorted(zip("wxy~", brute_targets([9, 4, 0, 2], [1, 2, 3, 1])))
+    assert mixing.draws(mixing.keyed(fixtures.frame(spark, []), 17), mixing.plan_mix(mixing.keyed(fixtures.frame(spark, []), 17))).count() == 0
+
+
+def test_big_draws_keep_their_bounds():
+    rng = np.random.default_rng(1)
+    for good, bad, n in [(10**9, 5, 10**9), (3 * 10**9, 10**9, 10**6), (10**9, 10**10, 0)]:
+        assert max(0, n - bad) <= mixing._draw(rng, good, bad, n) <= min(good, n)
+
+
 def test_splitting_tree_keeps_quotas():
     for n in (1, 5, 32):
         quotas = np.array([0, 1, 17, 4000])
