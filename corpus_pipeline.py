@@ -25,9 +25,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rejected: texts without a letter, and texts under the bounds that the model
     takes from labelled texts it did not learn from: other languages, other
     scripts, random letters. The model is fitted on the labelled
-    documents of the stage's own input that are not held out.
+    documents of the stage's own input that are not held out. If there are none,
+    every text with a letter stays and lang is as it was.
     """
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
+    if model is None:
+        # Nothing to learn from, so nothing can be told: only texts without a letter go.
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = langid.detect(docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("text").alias("row_text")), model, "row_text")
     kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
     return kept.select(*[(F.col("lang_pred") if c == "lang" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
@@ -35,7 +39,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that many documents repeat; every document stays, if with an empty text."""
-    kept = line_dedup.dedup_lines(docs).drop("_n_lines", "_n_dropped")
+    kept = line_dedup.dedup_lines(docs)
     if "n_chars" not in docs.columns:
         return kept
     return kept.withColumn("n_chars", F.char_length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType))
