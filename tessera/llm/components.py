@@ -4,7 +4,8 @@ Each round links every node's larger neighbours, then its smaller ones, to its
 least neighbour (large star and small star), until the edges are stars about
 the least node of each component. A round aggregates and joins on nodes; the
 edges of a round are a written table, so that nothing is recomputed. A hub is
-aggregated before the shuffle, and its join is one that Spark can split.
+aggregated before the shuffle; its least neighbour is written before the join,
+so that the join reads two tables and Spark can split the hub.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ def _both(edges: DataFrame) -> DataFrame:
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """(u, v) with u > v: nodes linked to the least node next to them."""
     near = _both(edges) if large else edges
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).withColumnRenamed("u", "w")
+    least = materialize(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).withColumnRenamed("u", "w"), "least")
     met = near.join(least, near.u == least.w)
     if large:
         out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -35,6 +36,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) of every node of an edge (a, b), with the least node as root."""
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = materialize(e, "edges")
+    if e.isEmpty():
+        return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     before = None
     for _ in range(max_rounds):
         large = materialize(_star(e, True), "large-star")

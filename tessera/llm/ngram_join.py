@@ -1,17 +1,23 @@
 """Exact n-gram Jaccard self-join and its components.
 
 1. One pass turns each text into the set of hashes of its word n-grams. Texts
-   with equal sets are one class, known by a 128-bit digest of the set; all
-   that follows works on classes.
+   with equal sets are one class, known by a 128-bit digest of the set and then
+   by a number; all that follows works on classes.
 2. Sets of similar size can only meet within a size band or with the next one.
-   Two sets of sizes a and b at Jaccard t differ in at most (a+b)(1-t)/(1+t)
-   n-grams. Hash space is cut into more segments than that, so two linked sets
-   agree in at least one whole segment. A set emits one signature for each
-   segment and band, and sets with equal signatures form buckets. Buckets of
-   equal members are one.
-3. The members of a bucket form tiles. In a tile, hashed bitmaps bound every
-   overlap from above: each differing bit is at least one differing n-gram.
-   What the bound leaves joins into coarse groups.
+   Two sets of sizes a and b at Jaccard t differ in at most d = (a+b)(1-t)/(1+t)
+   n-grams. Hash space is cut into d + 1 + s segments, so two linked sets agree
+   in at least s + 1 whole ones. A set leaves its s least populated segments out
+   and emits a signature for each of the others: of the segments in which two
+   sets agree both leave out the least, by one order, so one is left. With s as
+   half of d + 1 these are never empty but by rare chance, and a signature says
+   something. Small sets have few segments; they emit the pairs of a prefix of
+   their hashes instead, two of which linked sets share. Sets with equal
+   signatures form buckets. Buckets of equal members are one.
+3. The members of a bucket form a tile; a large bucket is cut into chunks, each
+   with a few of its first members, and only what these do not tie together
+   meets chunk by chunk. In a tile, hashed bitmaps bound every overlap from
+   above: each differing bit is at least one differing n-gram. What the bound
+   leaves joins into coarse groups.
 4. A small coarse group is one tile. A large one is compared with a few of its
    own classes first, which ties most of it together; what is left is cut into
    tiles by component, size band and hash, and tiles meet unless they are of one
@@ -21,13 +27,16 @@
 5. Connected components of the forests give every document its class.
 
 Nothing is sampled or capped: a bucket or group of any size is cut into more
-tiles. What is sent to the driver are counts.
+tiles. What is sent to the driver are counts. N-grams are told apart by 64-bit
+hashes: a pair of sets of a and b n-grams has one counted as common that is not
+with a chance of a * b / 2**64.
 
 Defined results: words are runs of other bytes than blanks, A-Z lower-cased;
 a text with fewer words than n has its whole sequence as its one n-gram, and a
 null or blank text has none, links with nothing and is its own component. Rows
 that share a doc_id are one node. A row without doc_id is no node and is left
-out. An empty table gives no rows.
+out. An empty table gives no rows. Other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -48,7 +57,11 @@ from tessera.workspace import materialize, release
 #: Members of one side of a tile of bitmaps.
 TILE = 512
 #: Places of the largest bitmaps.
-MAX_BITS = 1 << 11
+MAX_BITS = 1 << 13
+#: Sets whose linked sets may be this small emit pairs of a prefix.
+SMALL = 40
+#: Classes that a task remembers as seen.
+SEEN = 100_000
 #: Classes of a large group that all its others are compared with first.
 PIVOTS = 32
 #: Bounds of one side of an exact tile: classes, and bytes of their arrays.
@@ -92,12 +105,16 @@ class Join:
             out.append(max(out[-1] + 1, out[-1] * 3 // 2))
         return out
 
+    def least(self, n: int) -> int:
+        """The least size of a set linked to one of n, which is also the least they have in common."""
+        return -(-n * self.num // self.den)
+
     def segments(self, band: int) -> tuple[int, int]:
-        """(segments, weak ones that may be left out) of a band: at least one strong one agrees."""
+        """(segments, least populated ones that are left out) of a band."""
         a = self.edges()[band + 1] - 1
         b = a * self.den // self.num
         d = self.allowed(a, b)
-        spare = (d + 1) // 16
+        spare = (d + 1) // 2
         return d + 1 + spare, spare
 
 
@@ -115,60 +132,63 @@ def _digest(shingles: np.ndarray) -> tuple[int, int]:
     return int(mix64(shingles * _MUL[0]).sum(dtype=np.uint64).astype(np.int64)), int(mix64(shingles ^ _MUL[1]).sum(dtype=np.uint64).astype(np.int64))
 
 
-_SETS = "kind int, doc_id long, node long, check long, n long, sig long, bits binary"
-_SET_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-_SET_NAMES = [x.split()[0] for x in _SETS.split(", ")]
+_SETS = "kind int, doc_id long, digest long, check long, n long, bits binary, sigs array<long>"
+_SET_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+_SET_NAMES = ["kind", "doc_id", "digest", "check", "n", "bits", "sigs"]
 
 
 def signatures(shingles: np.ndarray, join: Join, edges: list[int]) -> np.ndarray:
-    """The signatures of a set in its band, and in the band below if it can meet sets of that."""
+    """The signatures of a set: in its band, in the band below if it can meet sets of that, and of its prefix."""
     n = len(shingles)
-    band = int(np.searchsorted(edges, n, side="right")) - 1
-    low = -(-n * join.num // join.den)
+    low = join.least(n)
     out = []
-    for b in [band, band - 1] if band and low < edges[band] else [band]:
+    if low <= SMALL and n > 1:
+        # Both sets have at least ``low`` n-grams in common, two of them among the first n - low + 2 of each.
+        first = np.sort(mix64(shingles ^ _MUL[3]))[: n - low + 2]
+        i, j = np.triu_indices(len(first), 1)
+        out.append(mix64(first[i] * _MUL[4] + mix64(first[j])))
+    band = int(np.searchsorted(edges, n, side="right")) - 1
+    for b in [band, band - 1] if low < edges[band] else [band]:
+        if n <= SMALL:
+            break
         g, spare = join.segments(b)
         seg = (((shingles >> _U(32)) * _U(g)) >> _U(32)).astype(np.int64)
         counts = np.bincount(seg, minlength=g)
         sums = np.zeros(g, np.uint64)
         at = np.flatnonzero(counts)
         sums[at] = np.add.reduceat(mix64(shingles ^ _MUL[2]), (np.cumsum(counts) - counts)[at])
-        sigs = mix64(sums + mix64(np.arange(g, dtype=np.uint64) + _U(b << 44)))
-        weak = counts < 2
-        out.append(sigs[~weak] if weak.sum() <= spare else sigs)
-    return np.concatenate(out)
+        strong = np.argsort(counts, kind="stable")[spare:]
+        out.append(mix64(sums[strong] + mix64(strong.astype(np.uint64) + _U(b << 44))))
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def shingle_sets(docs: DataFrame, join: Join, id_col: str, text_col: str) -> DataFrame:
-    """Of each text: kind 0 its class; kind 1 its signatures and kind 2 its bitmap, once for each class and batch."""
+    """Of each text kind 0, its class; kind 1 has the bitmap and signatures of a class, seldom twice in a task."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
         edges = join.edges()
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             ids = batch.column(0).to_pylist()
             texts = batch.column(1).cast(pa.binary())
             for lo in range(0, len(ids), 500):
-                seen: set[tuple[int, int]] = set()
-                head, nodes, counts, sigs = [], [], [], []
+                rows, counts, sigs = [], [], []
+                if len(seen) > SEEN:
+                    seen.clear()
                 for key, words in zip(ids[lo : lo + 500], word_hashes(raw_slice(texts, lo, 500), lower=True)):
                     s = join.shingles(words)
-                    node, check = _digest(s) if len(s) else (0, 0)
-                    head.append((0, key, node, check, len(s), None, None))
-                    if len(s) and (node, check) not in seen:
-                        seen.add((node, check))
-                        head.append((2, key, node, check, len(s), None, _bits(s, _bit_size(len(s)))))
-                        got = signatures(s, join, edges)
-                        nodes.append(node)
-                        counts.append(len(got))
-                        sigs.append(got)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*head), _SET_TYPES)], _SET_NAMES)
-                if sigs:
-                    sig = np.concatenate(sigs).view(np.int64)
-                    none = lambda t: pa.nulls(len(sig), t)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.ones(len(sig), np.int32)), none(pa.int64()), pa.array(np.repeat(np.array(nodes, np.int64), counts)), none(pa.int64()), none(pa.int64()), pa.array(sig), none(pa.binary())], _SET_NAMES
-                    )
+                    digest, check = _digest(s) if len(s) else (0, 0)
+                    rows.append((0, key, digest, check, len(s), None))
+                    counts.append(0)
+                    if len(s) and (digest, check) not in seen:
+                        seen.add((digest, check))
+                        rows.append((1, key, digest, check, len(s), _bits(s, _bit_size(len(s)))))
+                        sigs.append(signatures(s, join, edges))
+                        counts.append(len(sigs[-1]))
+                values = np.concatenate(sigs).view(np.int64) if sigs else np.empty(0, np.int64)
+                lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), pa.array(values))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows), _SET_TYPES)), lists], _SET_NAMES)
         settle()
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(F.col(f"`{text_col}`")).alias("text")).where("doc_id is not null")
@@ -231,18 +251,16 @@ def buckets(sigs: DataFrame) -> DataFrame:
 
 
 def bucket_tiles(found: DataFrame) -> DataFrame:
-    """(tile, node): whole buckets, equal ones once, and pairs of chunks of larger ones."""
+    """(tile, node): whole buckets, equal ones once, and chunks of larger ones with the first members."""
     whole = found.where("whole").select("members").distinct().select(F.xxhash64("members").alias("tile"), F.explode("members").alias("node"))
     parts = found.where("not whole")
-    a, b = parts.select("sig", F.col("chunk").alias("c"), F.col("members").alias("ma")), parts.select("sig", F.col("chunk").alias("d"), F.col("members").alias("mb"))
-    pairs = a.join(b, "sig").where("c <= d")
-    members = F.when(F.col("c") == F.col("d"), F.col("ma")).otherwise(F.concat("ma", "mb"))
-    return whole.union(pairs.select(F.xxhash64("sig", "c", "d"), F.explode(members)))
+    pivots = parts.where("chunk = 0").select("sig", F.slice("members", 1, PIVOTS).alias("pivots"))
+    met = parts.join(pivots, "sig").select(F.xxhash64("sig", "chunk"), F.explode(F.array_union("members", "pivots")))
+    return whole.union(met)
 
 
-def _fold(bits: list[bytes]) -> np.ndarray:
-    """Bitmaps of several widths folded to the least, as a float matrix."""
-    size = min(map(len, bits)) * 8
+def _fold(bits: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps of several widths folded to ``size``, as a float matrix."""
     return np.stack([np.unpackbits(np.frombuffer(x, np.uint8)).reshape(-1, size).any(axis=0) for x in bits]).astype(np.float32)
 
 
@@ -277,7 +295,8 @@ def coarse_links(tiles: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
             for rows in batch.column(0):
                 nodes, first = np.unique(rows.values.field("node").to_numpy(), return_index=True)
                 n = rows.values.field("n").to_numpy()[first]
-                x = _fold([rows.values.field("bits")[i].as_py() for i in first.tolist()])
+                bits = [rows.values.field("bits")[i].as_py() for i in first.tolist()]
+                x = _fold(bits, 8 * min(map(len, bits)))
                 out += [(int(nodes[i]), int(nodes[j])) for i, j in _forest(_bounded(x, x, n, n, join))]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
@@ -294,40 +313,45 @@ def exact_links(sets: DataFrame, join: Join) -> DataFrame:
     itself and side 1, side 1 only with side 0.
     """
 
+    def forest(rows: pa.StructArray) -> list[tuple[int, int]]:
+        order = np.argsort(rows.field("n").to_numpy(), kind="stable")
+        n, node = rows.field("n").to_numpy()[order], rows.field("node").to_numpy()[order]
+        side = rows.field("side").to_numpy()[order]
+        at, two = order.tolist(), bool((side == 1).any())
+        bits = [rows.field("bits")[i].as_py() for i in at]
+        arrays = [np.frombuffer(rows.field("shingles")[i].as_buffer(), np.uint64) for i in at]
+        group = np.arange(len(n))
+        out: list[tuple[int, int]] = []
+        for lo in range(0, len(n), BLOCK):
+            hi = min(lo + BLOCK, len(n))
+            # Sizes ascend: what a row can link with ends somewhere, and the first row has the smallest bitmap.
+            end = int(np.searchsorted(join.num * n, join.den * n[hi - 1], side="right"))
+            own = group[lo] if (group[lo:hi] == group[lo]).all() else -1
+            others = lo + np.flatnonzero((group[lo:end] != own))
+            if not len(others):
+                continue
+            size = 8 * len(bits[lo])
+            x, y = _fold(bits[lo:hi], size), _fold([bits[j] for j in others.tolist()], size)
+            maybe = _bounded(x, y, n[lo:hi], n[others], join) & (np.arange(lo, hi)[:, None] < others[None, :])
+            if two:
+                maybe &= side[lo:hi, None] != side[others][None, :]
+            for i in range(lo, hi):
+                near = others[maybe[i - lo]]
+                for j in near[group[near] != group[i]].tolist():
+                    if group[j] == group[i]:
+                        continue
+                    p, q = arrays[i], arrays[j]
+                    same = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
+                    if join.den * same >= join.num * (len(p) + len(q) - same):
+                        group[group == group[j]] = group[i]
+                        out.append((int(node[i]), int(node[j])))
+        return out
+
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
         for batch in batches:
             for rows in batch.column(0):
-                side = np.array([r.as_py() for r in rows.values.field("side")])
-                node = rows.values.field("node").to_numpy()
-                n = rows.values.field("n").to_numpy()
-                bits = [x.as_py() for x in rows.values.field("bits")]
-                arrays = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.values.field("shingles")]
-                x = _fold(bits)
-                root = list(range(len(node)))
-                two = bool((side == 1).any())
-
-                def top(i: int) -> int:
-                    while root[i] != i:
-                        root[i] = root[root[i]]
-                        i = root[i]
-                    return i
-
-                out: list[tuple[int, int]] = []
-                for lo in range(0, len(node), BLOCK):
-                    rows_ = slice(lo, lo + BLOCK)
-                    maybe = np.triu(_bounded(x[rows_], x[lo:], n[rows_], n[lo:], join), 1)
-                    if two:
-                        maybe &= side[rows_, None] != side[None, lo:]
-                    for i, j in zip(*((k + lo).tolist() for k in np.nonzero(maybe))):
-                        a, b = top(i), top(j)
-                        if a == b:
-                            continue
-                        p, q = (arrays[i], arrays[j]) if n[i] < n[j] else (arrays[j], arrays[i])
-                        same = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
-                        if join.den * same >= join.num * (len(p) + len(q) - same):
-                            root[a] = b
-                            out.append((int(node[i]), int(node[j])))
+                out = forest(rows.values)
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
         settle()
@@ -341,13 +365,18 @@ def _parts(tile: int) -> Column:
     return F.ceil(F.greatest(F.count("*") / F.lit(float(tile)), 8 * F.sum("n") / F.lit(float(EXACT_BYTES)))).cast("int")
 
 
-def first_tiles(groups: DataFrame, tile: int) -> DataFrame:
+def group_sizes(groups: DataFrame, tile: int) -> DataFrame:
+    """(root, m, parts), written: a join with a table can split a large group, one with an aggregate can't."""
+    return materialize(groups.groupBy("root").agg(F.count("*").alias("m"), _parts(tile).alias("parts")), "group-sizes")
+
+
+def first_tiles(groups: DataFrame, sizes: DataFrame) -> DataFrame:
     """(node, tile, side) from (node, root, n): small groups whole, large ones against pivots.
 
-    A group within the bounds of a tile is one. A larger one is cut by hash, and some PIVOTS of its classes, chosen by hash, join every part: they
-    tie most of a dense group together before any two parts have to meet.
+    A group within the bounds of a tile is one. A larger one is cut by hash, and
+    some PIVOTS of its classes, chosen by hash, join every part: they tie most of
+    a dense group together before any two parts have to meet.
     """
-    sizes = groups.groupBy("root").agg(F.count("*").alias("m"), _parts(tile).alias("parts"))
     g = groups.join(sizes, "root")
     small = g.where("parts = 1").select("node", F.xxhash64("root").alias("tile"), F.lit(0).alias("side"))
     big = g.where("parts > 1")
@@ -357,26 +386,29 @@ def first_tiles(groups: DataFrame, tile: int) -> DataFrame:
     return small.union(of_part).union(pivots)
 
 
-def rest_tiles(groups: DataFrame, tied: DataFrame, join: Join, tile: int) -> DataFrame:
-    """(node, tile, side): what the pivots left open in large groups.
+def rest_tiles(groups: DataFrame, sizes: DataFrame, tied: DataFrame, join: Join, tile: int) -> DataFrame | None:
+    """(node, tile, side): what the pivots left open in large groups; None if there are no large ones.
 
     Classes that are tied to many others are chunked by component, the others
     together; both by fine size bands and hash. Two chunks meet unless they are
     of one component or their sizes forbid a link.
     """
     ratio = float(np.log(join.den / join.num))
-    large = groups.groupBy("root").agg(F.count("*").alias("m"), _parts(tile).alias("parts")).where("parts > 1").select("root", "m")
+    large = sizes.where("parts > 1").select("root", "m")
+    if large.isEmpty():
+        return None
     g = groups.join(large, "root").join(tied.select("node", F.col("root").alias("c")), "node", "left").withColumn("c", F.coalesce("c", "node"))
-    many = g.groupBy("root", "c").agg((8 * F.count("*") >= F.first("m")).alias("many")).where("many")
+    g = materialize(g, "large-groups")
+    many = materialize(g.groupBy("root", "c").agg((8 * F.count("*") >= F.first("m")).alias("many")).where("many"), "many")
     g = g.join(many, ["root", "c"], "left").withColumn("c", F.when(F.col("many"), F.col("c")))
     g = g.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int"))
     parts = g.groupBy("root", "c", "band").agg(_parts(tile).alias("parts"))
-    cut = parts.select(F.col("root").alias("r"), F.col("c").alias("cc"), F.col("band").alias("b"), "parts")
+    cut = materialize(parts.select(F.col("root").alias("r"), F.col("c").alias("cc"), F.col("band").alias("b"), "parts"), "parts")
     g = g.join(cut, (g.root == F.col("r")) & g.c.eqNullSafe(F.col("cc")) & (g.band == F.col("b")))
     part = F.pmod(F.xxhash64(F.lit(3), "node"), F.col("parts")).cast("int")
     g = g.select("node", "root", "c", "n", F.xxhash64("root", F.coalesce("c", F.lit(0).cast("long")), F.col("c").isNull(), "band", part).alias("chunk"))
     g = materialize(g, "chunks")
-    chunks = g.groupBy("root", "chunk").agg(F.first("c").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    chunks = materialize(g.groupBy("root", "chunk").agg(F.first("c").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi")), "chunk-sizes")
     a, b = (chunks.select("root", *[F.col(x).alias(f"{x}_{s}") for x in ("chunk", "c", "lo", "hi")]) for s in "ab")
     same = F.col("c_a").isNotNull() & (F.col("c_a") == F.col("c_b"))
     meet = (join.den * F.col("hi_a") >= join.num * F.col("lo_b")) & (join.den * F.col("hi_b") >= join.num * F.col("lo_a"))
@@ -386,56 +418,78 @@ def rest_tiles(groups: DataFrame, tied: DataFrame, join: Join, tile: int) -> Dat
     return g.select("node", "chunk").join(sides, "chunk").select("node", "tile", "side")
 
 
+def coarse_groups(classes: DataFrame, join: Join) -> DataFrame:
+    """(node, root): classes that may link, by their signatures and bitmaps; others have no row."""
+    sigs = classes.select(F.explode("sigs").alias("sig"), "node")
+    slim = classes.select("node", "n", "bits")
+    found = materialize(buckets(sigs), "buckets")
+    coarse = materialize(coarse_links(bucket_tiles(found), slim, join), "coarse")
+    roots = components(coarse)
+    # What the pivots of a large bucket did not tie together meets, unless something else did.
+    spread = found.where("not whole").select(F.col("sig").alias("root"), F.explode("members").alias("node")).distinct().join(classes.select("node", "n"), "node")
+    spread = materialize(spread, "large-buckets")
+    sizes = group_sizes(spread, TILE)
+    rest = rest_tiles(spread, sizes, roots, join, TILE)
+    if rest is not None:
+        more = materialize(coarse_links(rest.select("tile", "node"), slim, join), "more-coarse")
+        if not more.isEmpty():
+            roots = components(coarse.union(more))
+    release(found, spread)
+    return roots
+
+
 def classes_and_links(docs: DataFrame, join: Join, id_col: str = "doc_id", text_col: str = "text", tile: int = EXACT_TILE) -> tuple[DataFrame, DataFrame]:
     """(members, links): (doc_id, node, n) of every document, and a forest (a, b) over linked nodes."""
     sets = materialize(shingle_sets(docs, join, id_col, text_col), "sets", "kind")
-    members = sets.where("kind = 0").select("doc_id", "node", "check", "n")
-    if not members.groupBy("node").agg((F.min("check") != F.max("check")).alias("bad")).where("bad").isEmpty():
-        raise RuntimeError("two sets share a 64-bit digest; change the multipliers")
-    classes = sets.where("kind = 2").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    classes = materialize(classes, "classes")
-    found = materialize(buckets(sets.where("kind = 1")), "buckets")
+    one = sets.where("kind = 1").groupBy("digest", "check").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("sigs").alias("sigs"))
+    classes = materialize(one.withColumn("node", F.monotonically_increasing_id()), "classes")
     release(sets, part="/kind=1")
-    coarse = materialize(coarse_links(bucket_tiles(found), classes.drop("rep"), join), "coarse")
-    groups = components(coarse).join(classes, "node")
-    groups = materialize(groups, "groups")
-    release(found, coarse, classes)
+    groups = materialize(coarse_groups(classes, join).join(classes.drop("sigs"), "node"), "groups")
 
     # One text of each class that is in a group is read again for its exact array.
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(3).cast(pa.binary())
+            texts = batch.column(5).cast(pa.binary())
             for lo in range(0, len(texts), 256):
                 part = batch.slice(lo, 256)
-                got = [join.shingles(w).tobytes() for w in word_hashes(raw_slice(texts, lo, 256), lower=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(got, pa.binary())], ["node", "n", "bits", "shingles"])
+                got = [join.shingles(w) for w in word_hashes(raw_slice(texts, lo, 256), lower=True)]
+                # A doc_id may have several texts.
+                own = pa.array([len(s) > 0 and _digest(s) == (d, c) for s, d, c in zip(got, part.column(3).to_pylist(), part.column(4).to_pylist())], pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array([s.tobytes() for s in got], pa.binary())], ["node", "n", "bits", "shingles"]).filter(own)
         settle()
 
     text = docs.select(F.col(f"`{id_col}`").cast("long").alias("rep"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
-    needed = groups.select("rep", "node", "n", "bits").join(text.hint("merge"), "rep").select("node", "n", "bits", "text")
+    needed = groups.select("rep", "node", "n", "bits", "digest", "check").join(text.hint("merge"), "rep").select("node", "n", "bits", "digest", "check", "text")
     exact = materialize(needed.mapInArrow(arrays, "node long, n long, bits binary, shingles binary"), "arrays")
     own = groups.select("node", "root", "n")
-    first = materialize(exact_links(first_tiles(own, tile).join(exact, "node"), join).distinct(), "first-links")
-    rest = rest_tiles(own, components(first), join, tile)
-    second = materialize(exact_links(rest.join(exact, "node"), join).distinct(), "rest-links")
-    release(groups, exact)
-    return members, first.union(second)
+    sizes = group_sizes(own, tile)
+    links = materialize(exact_links(first_tiles(own, sizes).join(exact, "node"), join).distinct(), "first-links")
+    if not sizes.where("parts > 1").isEmpty():
+        rest = rest_tiles(own, sizes, components(links), join, tile)
+        links = links.union(materialize(exact_links(rest.join(exact, "node"), join).distinct(), "rest-links"))
+    members = sets.where("kind = 0").select("doc_id", "digest", "check", "n")
+    members = members.join(classes.select("digest", "check", "node").hint("merge"), ["digest", "check"], "left").select("doc_id", "node", "n")
+    members = materialize(members, "members")
+    release(sets, classes, groups, exact)
+    return members, links
 
 
 def jaccard_components(docs: DataFrame, join: Join | None = None, id_col: str = "doc_id", text_col: str = "text", tile: int = EXACT_TILE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row with a doc_id."""
     members, links = classes_and_links(docs, join or Join(), id_col, text_col, tile)
-    roots = components(links)
     # Rows of one doc_id with several texts are one node: their classes are linked too.
-    own = members.where("n > 0").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count_distinct("node").alias("c")).where("c > 1")
+    own = members.where("n > 0").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("doc_id", "a")
+    own = materialize(own, "several")
     if not own.isEmpty():
-        several = members.where("n > 0").join(own.select("doc_id", "a"), "doc_id").where("a <> node").select("a", F.col("node").alias("b"))
-        roots = components(links.union(several))
-    named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = named.join(least, "root", "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+        links = links.union(members.where("n > 0").join(own, "doc_id").where("a <> node").select("a", F.col("node").alias("b")))
+    roots = components(links)
+    # By class, so that the copies of a class are summed up before they move.
+    least = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
+    named = materialize(least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
+    of_root = materialize(named.groupBy("root").agg(F.min("least").alias("component_id")), "least-ids")
+    of_node = materialize(named.join(of_root, "root").select("node", "component_id"), "components")
+    out = members.join(of_node.hint("merge"), "node", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

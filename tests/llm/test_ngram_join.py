@@ -83,6 +83,29 @@ def test_rows_of_one_document(spark):
     assert got == [(3, 0, 3), (3, 0, 3), (5, 28, 5), (5, 38, 5), (7, 28, 5), (9, 38, 5)]
 
 
+def test_signatures_of_linked_sets_meet():
+    rng = np.random.default_rng(3)
+    for join in (nj.Join(), nj.Join(5, 80, 100)):
+        e = join.edges()
+        for _ in range(3000):
+            n = int(rng.integers(1, 120))
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            b = a[rng.random(len(a)) > rng.choice([0, 0.05, 0.15])]
+            b = np.unique(np.concatenate([b, rng.integers(0, 1 << 63, int(rng.integers(0, 2 + n // 6))).astype(np.uint64)]))
+            same = len(np.intersect1d(a, b))
+            if len(b) and same < max(len(a), len(b)) and join.den * same >= join.num * (len(a) + len(b) - same):
+                assert len(np.intersect1d(nj.signatures(a, join, e), nj.signatures(b, join, e)))
+
+
+def test_texts_without_a_common_word_do_not_link(spark):
+    a = "a"
+    while len(a) < 2048:
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, " ".join([a] * 30)), (2, " ".join([b] * 30)), (3, a), (4, b)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in nj.jaccard_components(docs).collect()) == [(1, 1, 1), (2, 1, 2), (3, 1, 3), (4, 1, 4)]
+
+
 def test_segments_outnumber_differences():
     for join in (nj.Join(), nj.Join(5, 80, 100)):
         e = join.edges()
