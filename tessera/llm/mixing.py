@@ -48,7 +48,7 @@ GROUPS = 256
 SUBTREES = 64
 MAX_REPEAT = 3
 #: Words of a shard, and the most partitions that shards are written in.
-SHARD_WORDS = 1 << 24
+SHARD_WORDS = 1 << 21
 PARTITIONS = 20_000
 #: A table of blocks of up to this many rows, 300 bytes each at most, is broadcast.
 BROADCAST_ROWS = 100_000

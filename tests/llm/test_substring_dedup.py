@@ -56,7 +56,7 @@ def test_against_all_windows(spark, monkeypatch, vocabulary, batches, held):
 
 def test_tables_and_odd_rows(spark):
     for docs in (fixtures.frame(spark), fixtures.small(spark)):
-        assert got(sd.dedup_substrings(docs, keep_run=False)) == brute([(r.doc_id, r.text) for r in docs.collect()], 20)
+        assert got(sd.dedup_substrings(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()], 20)
     assert got(sd.dedup_substrings(fixtures.frame(spark, []))) == []
 
 
@@ -73,8 +73,24 @@ def test_index_is_compacted(spark):
     index = sd.SubstringIndex(spark, fanout=2)
     found = None
     for k in range(5):
-        part = spark.createDataFrame(rows[k * 30 : k * 30 + 30], "doc_id long, text string")
-        spans = index.add(part, docs)
+        index.add(sd.batch_units(docs.where(f"doc_id in ({', '.join(str(d) for d, _ in rows[k * 30 : k * 30 + 30])})"), index.windows))
+        spans = index.spans(docs.limit(30 * k + 30), k)
         found = spans if found is None else found.union(spans)
     assert [len(x) for x in index.levels] == [1, 0, 1]
     assert got(sd.remove_spans(docs, found)) == brute(rows, 20)
+    assert got(sd.remove_spans(docs, index.spans(docs))) == brute(rows, 20)
+    # A run is in order and holds each key once.
+    keys = [(r.mh, r.uh) for r in spark.read.parquet(*[p for _, p in index._runs()]).where("kind = 1").collect()]
+    assert len(keys) == len(set(keys))
+    index.drop()
+
+
+def test_a_run_does_not_move(spark):
+    docs = spark.createDataFrame(passages(4, 300), "doc_id long, text string")
+    index = sd.SubstringIndex(spark)
+    index.add(sd.batch_units(docs.where("doc_id < 700000"), index.windows))
+    name = index._runs()[0][0]
+    rows = sd.batch_units(docs.where("doc_id >= 700000"), index.windows).repartition(index.buckets, "mh", "uh")
+    plan = rows.join(index._firsts(name).hint("merge"), ["mh", "uh"], "left")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    index.drop()
