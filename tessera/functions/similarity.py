@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from functools import lru_cache
 from math import sqrt
+from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -20,7 +21,14 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def lcs_length(a: str, b: str) -> int:
-    """Longest common subsequence, a bit of one integer for each character of ``a``."""
+    """Longest common subsequence, a bit of one integer for each character of ``a``; what both begin and end with is in it."""
+    lead = len(commonprefix((a, b)))
+    a, b = a[lead:], b[lead:]
+    tail = len(commonprefix((a[::-1], b[::-1])))
+    if tail:
+        a, b = a[:-tail], b[:-tail]
+    if not a or not b:
+        return lead + tail
     places: dict[str, int] = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
@@ -29,10 +37,10 @@ def lcs_length(a: str, b: str) -> int:
     for c in b:
         hit = free & places.get(c, 0)
         free = (free + hit | free - hit) & full
-    return len(a) - free.bit_count()
+    return lead + tail + len(a) - free.bit_count()
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=2_000)
 def ratio(a: str, b: str) -> float:
     """2 LCS / (|a| + |b|); two blanks are alike, a blank and a text are not."""
     return 1.0 if not a and not b else 2.0 * lcs_length(a, b) / (len(a) + len(b))

@@ -14,6 +14,7 @@ folding case is a finite character map, generated here from ``unicodedata``.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,12 +35,12 @@ ADDRESS = {
     "socty": "society", "ind": "industrial", "coop": "cooperative",
 }
 
-#: Python's notions of white space and word characters, in Java's dialect.
+# Python's notions of white space and word characters, in Java's dialect; what is Latin.
 _BLANK = r"[\s\x1c-\x1f]"
 _WORD = r"\p{IsAlphabetic}\p{Nd}_²³¹¼½¾"
 NON_LATIN = r"(?U)[^\u0000-ɏ -⁯\s]"
-#: Keeps a word boundary where a dot is taken away; no cleaned text holds it.
-_MARK = "\x01"
+#: Stand around an abbreviation that was found; a text's own count as blanks.
+_MARKS = "\x02\x03"
 
 
 def _fold_tables() -> tuple[dict[str, str], str, str]:
@@ -85,12 +86,20 @@ def fold(c: Column) -> Column:
     return strip(F.translate(c, _FROM, _TO))
 
 
+def _where(c: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
+    """``change`` of the texts that hold a pattern; one pass over the others, and ``c`` is evaluated once."""
+    return F.get(F.transform(F.array(c), lambda x: F.when(x.rlike(pattern), change(x)).otherwise(x)), F.lit(0))
+
+
 def join_acronyms(c: Column) -> Column:
-    """``p.v.t.`` to ``pvt``: two to eight single letters with dots, longest first."""
-    for n in range(8, 1, -1):
-        pattern = r"(?U)\b" + r"([A-Za-z])\." * n + r"([A-Za-z]?)\b"
-        c = F.regexp_replace(c, pattern, "".join(f"${i}" for i in range(1, n + 2)))
-    return c
+    """``p.v.t.`` to ``pvt``: two or more single letters with dots, before a letter or digit.
+
+    A dot goes if such a run goes on after it, or ends with it. The guard is a
+    plain search, and leaves most texts out.
+    """
+    goes_on = r"(?<=\b[A-Za-z])\.(?=[A-Za-z]\.\w)"
+    ends = r"(?<=\b[A-Za-z]\.[A-Za-z])\.(?=\w)"
+    return _where(c, r"[A-Za-z]\.[A-Za-z]\.", lambda x: F.regexp_replace(x, f"(?U){goes_on}|{ends}", ""))
 
 
 def spell_ampersand(c: Column) -> Column:
@@ -98,17 +107,23 @@ def spell_ampersand(c: Column) -> Column:
 
 
 def expand(c: Column, words: dict[str, str]) -> Column:
-    """Whole-word abbreviations, plural or not, with the dot that follows if a word goes on after it."""
-    for key, value in words.items():
-        c = F.regexp_replace(c, rf"(?U)\b{key}(s?)\.\b", f"{value}$1{_MARK}")
-    for key, value in words.items():
-        c = F.regexp_replace(c, rf"(?U)\b{key}(s?)\b", f"{value}$1")
-    return F.replace(c, F.lit(_MARK), F.lit(""))
+    """Whole-word abbreviations, plural or not, with the dot that follows if a word goes on after it.
+
+    One pass marks them, and plain replacements put the full forms in.
+    """
+    c = F.regexp_replace(F.translate(c, _MARKS, "  "), rf"(?U)\b({'|'.join(words)})(s?)(?:\.\b|\b)", f"{_MARKS[0]}$1{_MARKS[1]}$2")
+
+    def put(x: Column) -> Column:
+        for key, value in words.items():
+            x = F.replace(x, F.lit(f"{_MARKS[0]}{key}{_MARKS[1]}"), F.lit(value))
+        return x
+
+    return _where(c, _MARKS[0], put)
 
 
 def clean(c: Column) -> Column:
     """Letters parted from digits; words joined by single spaces."""
-    c = F.regexp_replace(c, r"(?<=\d)(?=[a-zA-Z])|(?<=[a-zA-Z])(?=\d)", " ")
+    c = _where(c, r"\d[a-zA-Z]|[a-zA-Z]\d", lambda x: F.regexp_replace(x, r"(?<=\d)(?=[a-zA-Z])|(?<=[a-zA-Z])(?=\d)", " "))
     return strip(F.regexp_replace(c, rf"(?U)[^{_WORD}]+", " "))
 
 
@@ -120,7 +135,7 @@ def normalize(c: Column, words: dict[str, str], latin_only: bool = False) -> Col
         other = raw.rlike(NON_LATIN)
         text = F.when(other, collapse_repeats(transliterate(F.when(other, raw)))).otherwise(raw)
     out = clean(expand(spell_ampersand(join_acronyms(fold(text))), words))
-    return F.coalesce(F.nullif(out, F.lit("")), strip(raw))
+    return F.get(F.transform(F.array(out), lambda x: F.when(x == "", strip(raw)).otherwise(x)), F.lit(0))
 
 
 def normalize_country(c: Column) -> Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import similarity, tokens
 from tessera.operators.entities import explode_truth, needed_entities
+from tessera.workspace import materialize
 
+# The features and their order.
 FEATURES = [
     "name_token_jaccard", "name_seq_ratio", "name_tfidf_cosine", "address_token_jaccard",
     "address_seq_ratio", "country_match", "name_length_diff", "name_first_token_match",
@@ -32,15 +34,28 @@ def gram_counts(entities: DataFrame) -> DataFrame:
     return entities.select("entity_id", F.explode(grams).alias("gram")).groupBy("entity_id", "gram").agg(F.count("*").alias("tf"))
 
 
+def first_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
+    """The first ``n`` rows by a unique order, however many they are: ranged and numbered, never in one task.
+
+    What goes over all partitions is a row for each.
+    """
+    parts = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+    counts = parts.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    near = parts.join(F.broadcast(before.where(F.col("_before") < n)), "_part").withColumn("_place", place)
+    return near.where(F.col("_before") + F.col("_place") <= n).select(*df.columns)
+
+
 def fit_idf(entities: DataFrame, min_df: int = 2, max_features: int = MAX_FEATURES, sample: int | None = None, seed: int = 42) -> DataFrame:
     """(gram, idf) of grams in at least ``min_df`` names, the most frequent ``max_features`` of them.
 
     All names by default; ``sample`` bounds them, taken by a hash of the id.
     """
     if sample is not None:
-        entities = entities.orderBy(F.xxhash64("entity_id", F.lit(seed)), "entity_id").limit(sample)
+        entities = first_rows(entities.withColumn("_o", F.xxhash64("entity_id", F.lit(seed))), sample, F.col("_o"), F.col("entity_id")).drop("_o")
     counts = gram_counts(entities).groupBy("gram").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).where(F.col("df") >= min_df)
-    top = counts.orderBy(F.desc("total"), "gram").limit(max_features)
+    top = first_rows(counts, max_features, F.col("total").desc(), F.col("gram"))
     n = entities.agg(F.count("*")).scalar()
     return top.select("gram", "df", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
 

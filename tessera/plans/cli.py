@@ -4,7 +4,7 @@ python -m tessera.plans.cli normalize IN OUT
 python -m tessera.plans.cli block --s1 F --s2 F --s3 F --out-long F --out-wide F [--ground-truth F] [--audit-only] [--dry-run N]
 python -m tessera.plans.cli features --pairs F --sources F F F --out F [--ground-truth F]
 python -m tessera.plans.cli train --features F --model DIR --threshold F
-python -m tessera.plans.cli predict --features F --candidates F --model DIR --threshold F --out F
+python -m tessera.plans.cli predict --features F --candidates F --model DIR --threshold F --out F [--out-candidates F]
 """
 
 from __future__ import annotations
@@ -83,11 +83,17 @@ def train(spark: SparkSession, path: str, model_dir: str, threshold: str, **opti
     return out
 
 
-def predict(spark: SparkSession, path: str, candidates: str, model_dir: str, threshold: str, out: str) -> None:
+def predict(spark: SparkSession, path: str, candidates: str, model_dir: str, threshold: str, out: str, out_candidates: str | None = None) -> None:
+    """Match lists in the order of the candidates' lists, which pass through to ``out_candidates``."""
     scored = model.predict_proba(model.load(model_dir), _feature_table(spark, path, False))
     ids = tsv.read_tsv(spark, candidates, tsv.CANDIDATES_WIDE)
-    lists = model.match_lists(scored, ids, tsv.read_json_row(spark, threshold)["threshold"])
+    # A list is in the order of the blocking score; what it lacks comes last.
+    place = F.array_position(F.split("candidate_entity_ids", ","), F.col("candidate_entity_id"))
+    scored = scored.join(ids, "source1_entity_id").withColumn("_order", -F.when(place > 0, place).otherwise(1 << 30))
+    lists = model.match_lists(scored, ids, tsv.read_json_row(spark, threshold)["threshold"], order_col="_order")
     tsv.write_tsv(lists, out)
+    if out_candidates:
+        tsv.write_tsv(ids, out_candidates)
     model.list_counts(tsv.read_tsv(spark, out), "matched_entity_ids").show()
 
 
@@ -119,6 +125,7 @@ def main(args: list[str] | None = None) -> None:
     a = sub.add_parser("predict")
     for s in ("--features", "--candidates", "--model", "--threshold", "--out"):
         a.add_argument(s, required=True)
+    a.add_argument("--out-candidates")
     o = top.parse_args(args)
     spark = SparkSession.builder.getOrCreate()
     if o.what == "normalize":
@@ -130,7 +137,7 @@ def main(args: list[str] | None = None) -> None:
     elif o.what == "train":
         print(train(spark, o.features, o.model, o.threshold, max_iter=o.trees))
     else:
-        predict(spark, o.features, o.candidates, o.model, o.threshold, o.out)
+        predict(spark, o.features, o.candidates, o.model, o.threshold, o.out, o.out_candidates)
 
 
 if __name__ == "__main__":

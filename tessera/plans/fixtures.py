@@ -16,8 +16,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a record of source 1, 2 or 3, by the number in its source.
 
-    Its name is made of the first eight words and its address of the last
-    eight, as a record's fields are short; its country is the language.
+    Its name is the first eight words and its address all others, so that the
+    two hold the whole text; its country is the language.
     """
     words = tokens(F.coalesce("text", F.lit("")))
     number = F.substring("source", 4, 9).cast("int")
@@ -25,7 +25,7 @@ def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("entity_id"),
         F.array_join(F.slice("_w", 1, 8), " ").alias("business_name"),
-        F.array_join(F.slice("_w", F.greatest(F.size("_w") - 7, F.lit(1)), 8), " ").alias("business_address"),
+        F.array_join(F.slice("_w", F.lit(9), F.greatest(F.size("_w") - 8, F.lit(0))), " ").alias("business_address"),
         F.col("lang").alias("country"),
         F.when(number < 8, 1).when(number < 14, 2).otherwise(3).alias("source"),
         F.col("doc_id").alias("ord"),

@@ -36,7 +36,7 @@ COUNTRY = "lower(regexp_replace(coalesce({}, ''), '^\\s+|\\s+$', '', 'g'))"
 
 RECORDS = f"""records AS MATERIALIZED (
   SELECT 'd' || doc_id AS entity_id, array_to_string(w[1:8], ' ') AS business_name,
-         array_to_string(w[greatest(len(w) - 7, 1):], ' ') AS business_address,
+         array_to_string(w[9:], ' ') AS business_address,
          lang AS country, CASE WHEN nr < 8 THEN 1 WHEN nr < 14 THEN 2 ELSE 3 END AS source, doc_id AS ord
   FROM (SELECT *, list_filter(string_split_regex(coalesce(text, ''), '\\s+'), lambda x: x <> '') AS w, CAST(substr(source, 4) AS INT) AS nr FROM documents)),
 entities AS MATERIALIZED (
@@ -107,6 +107,13 @@ met AS (SELECT c.entity_id AS source1_entity_id, c.country_clean AS s1_country,
 _QUICK = """least_counts AS (
   SELECT k.source1_entity_id, k.candidate_entity_id, sum(least(x.n, y.n)) AS common
   FROM topk k JOIN chars x ON x.entity_id = k.source1_entity_id JOIN chars y ON y.entity_id = k.candidate_entity_id AND y.c = x.c GROUP BY 1, 2)"""
+# The longest common subsequence as the least ends of the increasing runs of places in x, letter by letter of y.
+_LCS = f"""sides AS (SELECT source1_entity_id, candidate_entity_id, a.business_name_clean AS x, b.business_name_clean AS y {_SIDES}),
+lcs AS MATERIALIZED (
+  SELECT x, y, list_reduce(list_transform(string_split(y, ''), lambda c: list_filter(range(1, length(x) + 1), lambda i: substr(x, i, 1) = c)),
+    lambda t, p: list_filter(list_transform(range(1, len(t) + 2), lambda k: least(t[k], list_min(list_filter(p, lambda q: q > coalesce(t[k - 1], 0))))), lambda e: e IS NOT NULL),
+    []::BIGINT[]) AS t
+  FROM (SELECT DISTINCT x, y FROM sides))"""
 _CHARS = "chars AS (SELECT entity_id, c, count(*) AS n FROM (SELECT entity_id, unnest(string_split(business_name_clean, '')) AS c FROM entities) WHERE c <> '' GROUP BY 1, 2)"
 
 SQL = {
@@ -134,6 +141,7 @@ SQL = {
     "name_jaccard": _with(_TOPK, f"SELECT source1_entity_id, candidate_entity_id, round({_jaccard('business_name_clean')}, 6) AS name_token_jaccard {_SIDES}"),
     "addr_jaccard": _with(_TOPK, f"SELECT source1_entity_id, candidate_entity_id, round({_jaccard('business_address_clean')}, 6) AS address_token_jaccard {_SIDES}"),
     "flag_features": _with(_TOPK, f"SELECT source1_entity_id, candidate_entity_id, CAST(a.country_clean = b.country_clean AS INT) AS country_match, CAST(abs(length(a.business_name_clean) - length(b.business_name_clean)) AS INT) AS name_length_diff, CAST(split_part(a.business_name_clean, ' ', 1) = split_part(b.business_name_clean, ' ', 1) AND a.business_name_clean <> '' AS INT) AS name_first_token_match {_SIDES}"),
+    "seq_ratio": _with((*_TOPK, _LCS), "SELECT source1_entity_id, candidate_entity_id, round(CASE WHEN length(x) + length(y) = 0 THEN 1.0 ELSE 2.0 * len(t) / (length(x) + length(y)) END, 6) AS name_seq_ratio FROM sides JOIN lcs USING (x, y)"),
     "quick_ratio": _with((*_TOPK, _CHARS, _QUICK), f"SELECT source1_entity_id, candidate_entity_id, round(2.0 * coalesce(common, 0) / (length(a.business_name_clean) + length(b.business_name_clean)), 6) AS quick_ratio {_SIDES} LEFT JOIN least_counts USING (source1_entity_id, candidate_entity_id)"),
     "tfidf_idf": _with((*_TOPK, NEEDED, IDF), "SELECT gram, df, round(idf, 6) AS idf FROM idf"),
     "tfidf_cosine": _with((*_TOPK, NEEDED, IDF), "SELECT k.source1_entity_id, k.candidate_entity_id, round(coalesce(d.d, 0.0), 6) AS name_tfidf_cosine FROM topk k LEFT JOIN (SELECT k.source1_entity_id, k.candidate_entity_id, sum(x.u * y.u) AS d FROM topk k JOIN unit x ON x.entity_id = k.source1_entity_id JOIN unit y ON y.entity_id = k.candidate_entity_id AND y.gram = x.gram GROUP BY 1, 2) d USING (source1_entity_id, candidate_entity_id)"),

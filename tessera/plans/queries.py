@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import similarity, text
+from tessera.functions import similarity, text, tokens
 from tessera.operators import blocking, entities, features, model
 from tessera.plans import fixtures
 from tessera.sources import tsv
@@ -21,9 +21,15 @@ def _rounded(df: DataFrame, *cols: str) -> DataFrame:
     return reduce(lambda d, c: d.withColumn(c, F.round(c, ROUND)), cols, df)
 
 
-def _both(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Entities as a written table, as normalisation is read several times, and the candidates."""
-    e = materialize(fixtures.entities(spark, sf), "entities")
+def _entities(spark: SparkSession, sf: str, addresses: bool = False) -> DataFrame:
+    """Entities as a written table, as normalisation is read several times; with addresses where they are looked at."""
+    e = fixtures.entities(spark, sf).drop("business_name", "business_address", "country")
+    return materialize(e if addresses else e.drop("business_address_clean"), "entities")
+
+
+def _both(spark: SparkSession, sf: str, addresses: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Entities and the candidates."""
+    e = _entities(spark, sf, addresses)
     return e, blocking.candidates(e)
 
 
@@ -79,12 +85,12 @@ def common_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def blocking_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    e = materialize(fixtures.entities(spark, sf), "entities")
+    e = _entities(spark, sf)
     return blocking.blocking_pairs(e.where("source = 1"), e.where("source <> 1"))
 
 
 def name_cosine(spark: SparkSession, sf: str) -> DataFrame:
-    return _scored(materialize(fixtures.entities(spark, sf), "entities")).select(*KEYS, "blocking_score")
+    return _scored(_entities(spark, sf)).select(*KEYS, "blocking_score")
 
 
 def blocking_topk(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,7 +119,7 @@ def gt_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def needed_entities(spark: SparkSession, sf: str) -> DataFrame:
-    e, topk = _both(spark, sf)
+    e, topk = _both(spark, sf, True)
     return entities.needed_entities(topk, e).select("entity_id", "business_name_clean", "business_address_clean", "country_clean")
 
 
@@ -129,33 +135,43 @@ def label_counts(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(model.class_weights(materialize(_labelled(spark, sf), "labelled")), "weight")
 
 
+def _met(spark: SparkSession, sf: str, column: str) -> DataFrame:
+    """Candidates with a column of both sides."""
+    e, topk = _both(spark, sf, column == "business_address_clean")
+    return features._sides(topk.select(*KEYS), e.select("entity_id", column))
+
+
+def _jaccard(met: DataFrame, column: str, out: str) -> DataFrame:
+    a, b = (tokens.tokens(F.col(f"{side}_{column}")) for side in ("s1", "cand"))
+    return _rounded(met.select(*KEYS, similarity.jaccard(a, b).alias(out)), out)
+
+
 def name_jaccard(spark: SparkSession, sf: str) -> DataFrame:
-    e, topk = _both(spark, sf)
-    return _rounded(features.token_jaccards(topk, e).select(*KEYS, "name_token_jaccard"), "name_token_jaccard")
+    return _jaccard(_met(spark, sf, "business_name_clean"), "business_name_clean", "name_token_jaccard")
 
 
 def addr_jaccard(spark: SparkSession, sf: str) -> DataFrame:
-    e, topk = _both(spark, sf)
-    return _rounded(features.token_jaccards(topk, e).select(*KEYS, "address_token_jaccard"), "address_token_jaccard")
+    return _jaccard(_met(spark, sf, "business_address_clean"), "business_address_clean", "address_token_jaccard")
 
 
 def flag_features(spark: SparkSession, sf: str) -> DataFrame:
     e, topk = _both(spark, sf)
-    return features.flags(topk.select(*KEYS), e)
+    return features.flags(topk.select(*KEYS), e.withColumn("business_address_clean", F.lit("")))
 
 
-def _names(spark: SparkSession, sf: str) -> DataFrame:
-    e, topk = _both(spark, sf)
-    return features._sides(topk.select(*KEYS), features.lookup(e).select("entity_id", "business_name_clean", "business_address_clean"))
+def seq_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    met = _met(spark, sf, "business_name_clean")
+    return _rounded(met.select(*KEYS, similarity.seq_ratio("s1_business_name_clean", "cand_business_name_clean").alias("name_seq_ratio")), "name_seq_ratio")
 
 
-def seq_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    met = _names(spark, sf).select(*KEYS, similarity.seq_ratio("s1_business_name_clean", "cand_business_name_clean").alias("name_seq_ratio"), similarity.seq_ratio("s1_business_address_clean", "cand_business_address_clean").alias("address_seq_ratio"))
-    return _rounded(met, "name_seq_ratio", "address_seq_ratio")
+def address_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """The same of the addresses, which are the rest of whole texts: too long for SQL."""
+    met = _met(spark, sf, "business_address_clean")
+    return _rounded(met.select(*KEYS, similarity.seq_ratio("s1_business_address_clean", "cand_business_address_clean").alias("address_seq_ratio")), "address_seq_ratio")
 
 
 def quick_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    met = _names(spark, sf).select(*KEYS, similarity.quick_ratio(F.col("s1_business_name_clean"), F.col("cand_business_name_clean")).alias("quick_ratio"))
+    met = _met(spark, sf, "business_name_clean").select(*KEYS, similarity.quick_ratio(F.col("s1_business_name_clean"), F.col("cand_business_name_clean")).alias("quick_ratio"))
     return _rounded(met, "quick_ratio")
 
 
@@ -172,7 +188,7 @@ def tfidf_cosine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_rows(spark: SparkSession, sf: str) -> DataFrame:
-    e, topk = _both(spark, sf)
+    e, topk = _both(spark, sf, True)
     rows = features.feature_rows(materialize(topk, "topk"), e, fixtures.ground_truth(spark, sf))
     return _rounded(rows, "name_token_jaccard", "name_seq_ratio", "name_tfidf_cosine", "address_token_jaccard", "address_seq_ratio")
 
@@ -205,7 +221,7 @@ def dry_run_limit(spark: SparkSession, sf: str) -> DataFrame:
 
 def gbt_predict(spark: SparkSession, sf: str) -> DataFrame:
     """Train on the entities outside validation, then give every pair its probability."""
-    e, topk = _both(spark, sf)
+    e, topk = _both(spark, sf, True)
     rows = materialize(features.feature_rows(materialize(topk, "topk"), e, fixtures.ground_truth(spark, sf)), "feature-rows")
     fitted = model.fit(rows.where(~model.in_validation(F.col("source1_entity_id"))))
     return model.predict_proba(fitted, rows).select(*KEYS, "label", "prob")
@@ -222,6 +238,6 @@ QUERIES = {f.__name__: f for f in (
     normalize_names, normalize_addresses, normalize_country, country_counts, country_blank_counts, gt_country_mismatch,
     gt_mismatch_examples, token_df, common_tokens, blocking_pairs, name_cosine, blocking_topk, candidates_wide,
     candidate_counts, blocking_recall, char_ngrams, gt_explode, needed_entities, dedupe_union, label_join, label_counts,
-    name_jaccard, addr_jaccard, flag_features, seq_ratio, quick_ratio, tfidf_idf, tfidf_cosine, feature_rows, group_split,
+    name_jaccard, addr_jaccard, flag_features, seq_ratio, address_ratio, quick_ratio, tfidf_idf, tfidf_cosine, feature_rows, group_split,
     macro_f05, threshold_sweep, best_threshold, match_lists, dry_run_limit, gbt_predict, tsv_round_trip,
 )}

@@ -28,8 +28,13 @@ def test_four_stages_over_files(spark, tmp_path):
     cli.main(["features", "--pairs", at("long"), "--sources", *n, "--out", at("features"), "--ground-truth", at("truth")])
     assert tsv.read_tsv(spark, at("features")).count() == tsv.read_tsv(spark, at("long")).count() > 0
     cli.main(["train", "--features", at("features"), "--model", at("model"), "--threshold", at("threshold"), "--trees", "3"])
-    cli.main(["predict", "--features", at("features"), "--candidates", at("wide"), "--model", at("model"), "--threshold", at("threshold"), "--out", at("matches")])
+    cli.main(["predict", "--features", at("features"), "--candidates", at("wide"), "--model", at("model"), "--threshold", at("threshold"), "--out", at("matches"), "--out-candidates", at("passed")])
     wide, matches = (tsv.read_tsv(spark, at(x)) for x in ("wide", "matches"))
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, tsv.read_tsv(spark, at("passed")).collect()))
+    order = {r.source1_entity_id: r.candidate_entity_ids.split(",") for r in wide.collect()}
+    for r in matches.where("matched_entity_ids <> ''").collect():
+        places = [order[r.source1_entity_id].index(x) for x in r.matched_entity_ids.split(",")]
+        assert places == sorted(places)
     assert wide.count() == matches.count() == records.where("source = 1").count()
     assert wide.where("candidate_entity_ids <> ''").count() > 0
     assert matches.join(truth.withColumnRenamed("matched_entity_ids", "twin"), "source1_entity_id").where("matched_entity_ids like concat('%', twin, '%')").count() > 0

@@ -103,3 +103,28 @@ def test_pair_columns(spark):
         assert r.q == pytest.approx(2 * sum((Counter(x) & Counter(y)).values()) / n if n else 1.0) and r.q >= r.r - 1e-12
         s, t = set(x.split()), set(y.split())
         assert r.j == pytest.approx(len(s & t) / len(s | t) if s | t else 1.0)
+
+
+def test_acronyms_and_abbreviations_against_patterns(spark):
+    import random
+    import re
+
+    from tessera.functions import text
+
+    rng = random.Random(5)
+    parts = ["a", "b", "S", ".", ".", ".", " ", "bank", "9", "-", "co", "cos", "st", "sts", "inc", "ste", "pvt", "é", "socty"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(1, 25)))) for i in range(600)] + [(600, "a.b.c.d.e.f.g.h.i.j. k"), (601, "p.v.t. x")]
+    df = spark.createDataFrame(rows, "i int, t string")
+    acronym = re.compile(r"\b(?:[A-Za-z]\.){2,}[A-Za-z]?\b")
+    both = text.GENERAL | text.ADDRESS
+    short = re.compile(rf"\b(?:{'|'.join(both)})s?\.?\b")
+
+    def full(m):
+        t = m.group(0).rstrip(".")
+        return both[t] if t in both else both[t[:-1]] + "s"
+
+    out = df.select("i", text.join_acronyms(F.col("t")).alias("a"), text.expand(F.col("t"), both).alias("e")).collect()
+    for r in out:
+        t = rows[r.i][1]
+        assert r.a == acronym.sub(lambda m: m.group(0).replace(".", ""), t)
+        assert r.e == short.sub(full, t)
