@@ -1,28 +1,36 @@
 """Best-fit packing of documents into sequences, in bulk-synchronous rounds.
 
-Pieces of one length are interchangeable, and so are sequences with one gap.
-Pieces are therefore ranged by length, and by rank within a length; gaps by
-size, and by rank within a size. A round takes the longest pieces left and
-sweeps the gaps upward from that length: the successor of the length is the
-best fit, the pieces of lowest rank take the gaps of lowest rank, and each gap
-takes as many of them as it holds, as best fit would one at a time. Gaps are
-updated, what found no gap opens new sequences, and the next round begins. The
-result is that of best fit over decreasing lengths.
-
-What is distributed: tokenizing, ranking every piece within its length
-(positions inside a partition plus the counts of the partitions before it),
-and giving every piece its place. What is not: the sweep itself, which works
-on runs (length, first rank, count), of which there are at most as many as the
-sequence length, however many documents there are.
+The longest pieces open as many sequences as all tokens need at least, or one
+for each piece that is longer than half a sequence. Then rounds follow until
+every piece has a place. In a round
+
+1. the pieces left and the gaps of open sequences are range-sorted together by
+   size;
+2. each partition is swept upward: a gap takes the longest piece left under it,
+   which is the piece whose successor it is once conflicts are resolved by rank,
+   as closing brackets take opening ones;
+3. what a sweep left over, gaps without a piece below them and pieces without a
+   gap above them, meets over partitions by the same rule: from their counts,
+   one row for each partition, follows which ranks take which;
+4. the gaps are updated.
+
+While there are more pieces than gaps, a gap is offered as several slots of
+equal size, so the number of rounds grows with the logarithm of the pieces of
+a sequence. Pieces longer than every gap open new sequences, as many as their
+tokens need.
+
+All is tables of (key, length) and (sequence, gap); texts are read once. What
+reaches the driver are the counts of lengths, at most the capacity, and counts
+for each partition. A sequence holds at most ``capacity`` pieces.
 
 Defined results: a null or empty text is its end id alone. A text longer than
 the capacity is cut into whole sequences, its first piece the shorter one.
-Rows that share a doc_id are packed each. An empty table gives no rows.
+Rows that share a doc_id are packed each, as are rows without one. An empty
+table gives no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import bisect
 import zlib
 from collections.abc import Iterator
 
@@ -35,104 +43,165 @@ from pyspark.sql import functions as F
 from tessera.llm.encoding import default_tokenizer, encoder, text_slices
 from tessera.llm.hashing import settle
 from tessera.llm.native import documents, text_or_empty
-from tessera.workspace import materialize
+from tessera.workspace import materialize, release
 
 CAPACITY = 2048
 END_ID = 0
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, pid int, local_rank long"
-PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+#: key: the partition that cut a piece, and its rank there; unique once the pieces are written.
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, key long"
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pieces of every document, each with its rank among those of its length in its partition."""
+    """The pieces of every document."""
     end = np.array([end_id], np.uint32)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, pid, seen = encoder(tokenizer), TaskContext.get().partitionId(), [0] * (capacity + 1)
+        enc, key = encoder(tokenizer), TaskContext.get().partitionId() << 40
         for batch in batches:
-            keys = batch.column(0).to_pylist()
+            docs_ = batch.column(0).to_pylist()
             for a, texts in text_slices(batch.column(1)):
                 rows: list[tuple] = []
-                for key, ids in zip(keys[a : a + len(texts)], enc.encode(texts)):
+                for doc, ids in zip(docs_[a : a + len(texts)], enc.encode(texts)):
                     ids = np.append(ids, end).astype("<u4")
                     n = len(ids)
                     start, piece = 0, 0
                     while start < n:
                         length = (n - start) % capacity or capacity
-                        rows.append((key, piece, start, length, zlib.crc32(ids[start : start + length]), pid, seen[length]))
-                        seen[length] += 1
+                        rows.append((doc, piece, start, length, zlib.crc32(ids[start : start + length]), key))
+                        key += 1
                         start, piece = start + length, piece + 1
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32", "pid", "local_rank"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32", "key"])
         settle()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(cut, PIECES)
-
-
-def best_fit_plan(counts: dict[int, int], capacity: int = CAPACITY) -> dict[int, list[tuple[int, int, int, int]]]:
-    """For each length, runs (first rank, first sequence, pieces a sequence, offset), by first rank."""
-    plan: dict[int, list[tuple[int, int, int, int]]] = {}
-    gaps: dict[int, list[tuple[int, int]]] = {}
-    sizes: list[int] = []  # of the gaps, ascending
-    opened = 0
-
-    def leave(size: int, first: int, n: int) -> None:
-        if size and n:
-            if size not in gaps:
-                bisect.insort(sizes, size)
-                gaps[size] = []
-            gaps[size].append((first, n))
-
-    for length in sorted(counts, reverse=True):
-        rank, total, runs = 0, counts[length], []
-        while rank < total:
-            at = bisect.bisect_left(sizes, length)
-            if at == len(sizes):
-                n = -(-(total - rank) // (capacity // length))
-                leave(capacity, opened, n)
-                opened += n
-                continue
-            size = sizes[at]
-            first, n = gaps[size].pop()
-            if not gaps[size]:
-                del gaps[size], sizes[at]
-            each = size // length
-            full = min(n, (total - rank) // each)
-            runs.append((rank, first, each, capacity - size))
-            if full:
-                rank += full * each
-                leave(size - each * length, first, full)
-                leave(size, first + full, n - full)
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(F.col(f"`{text_col}`")).alias("text")).mapInArrow(cut, PIECES)
+
+
+def seeds(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(key, length, seed): whether a piece opens a sequence; written. Of equals at the border the first by key do."""
+    counts = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
+    tokens, long = sum(x * n for x, n in counts.items()), sum(n for x, n in counts.items() if 2 * x > capacity)
+    wanted, border = max(long, -(-tokens // capacity)), 0
+    for border in sorted(counts, reverse=True):
+        if counts[border] >= wanted:
+            break
+        wanted -= counts[border]
+    # Those of the border's length are numbered over the partitions that cut them.
+    part = F.shiftright("key", 40)
+    equal = pieces.where(F.col("length") == border).select(F.col("key").alias("k"), part.alias("part"))
+    sizes = equal.groupBy("part").agg(F.count("*").alias("n"))
+    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    place = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy("k"))
+    chosen = equal.join(F.broadcast(before), "part").withColumn("place", place).where(F.col("place") <= wanted).select("k", F.lit(True).alias("first"))
+    met = pieces.join(chosen.hint("merge"), pieces.key == F.col("k"), "left")
+    return materialize(met.select("key", "length", (F.col("first").isNotNull() | (F.col("length") > border)).alias("seed")), "seeds")
+
+
+#: what: 0 a match of a piece and a sequence, 1 a piece left over, 2 a slot left over; rank: its place among those of its partition.
+SWEPT = "what int, part int, rank long, key long, length long, seq long"
+
+
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (size, kind, id) in order, pieces (kind 0) before slots of their size."""
+    part, stack, matched, alone = TaskContext.get().partitionId(), [], [], []
+
+    def rows(what: int, found: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(found), 50_000):
+            some = found[lo : lo + 50_000]
+            key, length, seq = zip(*some)
+            n = len(some)
+            cols = [np.full(n, what, np.int32), np.full(n, part, np.int32), np.arange(lo, lo + n), np.array(key, np.int64), np.array(length, np.int64), np.array(seq, np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["what", "part", "rank", "key", "length", "seq"])
+
+    for batch in batches:
+        for size, kind, id_ in zip(*(c.to_pylist() for c in batch.columns)):
+            if kind == 0:
+                stack.append((id_, size))
+            elif stack:
+                matched.append((*stack.pop(), id_))
             else:
-                leave(size - (total - rank) * length, first, 1)
-                leave(size, first + 1, n - 1)
-                rank = total
-        plan[length] = runs
-    return plan
+                alone.append((0, size, id_))
+        yield from rows(0, matched)
+        matched = []
+    yield from rows(1, [(key, size, 0) for key, size in reversed(stack)])
+    yield from rows(2, alone)
+
+
+def _meet(counts: dict[tuple[int, int], int]) -> list[tuple[int, int, int, int, int]]:
+    """Which leftovers of partitions match: (slots' partition, first rank, pieces' partition, first rank, number)."""
+    waiting, out = [], []
+    for part in sorted({p for p, _ in counts}):
+        rank, slots = 0, counts.get((part, 2), 0)
+        while slots and waiting:
+            below, first, n = waiting.pop()
+            some = min(n, slots)
+            out.append((part, rank, below, first, some))
+            rank, slots = rank + some, slots - some
+            if n > some:
+                waiting.append((below, first + some, n - some))
+        if counts.get((part, 1)):
+            waiting.append((part, 0, counts[part, 1]))
+    return out
+
+
+def sweep_round(free: DataFrame, gaps: DataFrame, offered: int, longest: int) -> tuple[DataFrame, DataFrame]:
+    """(key, length, seq) of the pieces that found a gap, and (key, length) of the others; both written."""
+    spark = free.sparkSession
+    n = F.least(F.lit(offered), F.greatest(F.lit(1), F.floor(F.col("gap") / longest))).cast("int")
+    slots = gaps.withColumn("n", n).select(F.floor(F.col("gap") / F.col("n")).alias("size"), F.lit(1).alias("kind"), F.explode(F.array_repeat("seq", F.col("n"))).alias("id"))
+    rows = free.select(F.col("length").alias("size"), F.lit(0).alias("kind"), F.col("key").alias("id")).union(slots)
+    swept = materialize(rows.repartitionByRange("size", "kind", "id").sortWithinPartitions("size", "kind", "id").mapInArrow(_sweep, SWEPT), "swept")
+    left = swept.where("what > 0")
+    counts = {(r.part, r.what): r["count"] for r in left.groupBy("part", "what").count().collect()}
+    runs = [(i, *x) for i, x in enumerate(_meet(counts))]
+    table = spark.createDataFrame(pa.table({c: pa.array([x[k] for x in runs], pa.int64()) for k, c in enumerate(["run", "slots", "from_slot", "pieces", "from_piece", "n"])}))
+
+    def side(what: int, part: str, first: str) -> DataFrame:
+        of = left.where(F.col("what") == what).join(F.broadcast(table), F.col("part") == F.col(part))
+        place = F.col("rank") - F.col(first)
+        return of.where((place >= 0) & (place < F.col("n"))).withColumn("place", place)
+
+    met = side(1, "pieces", "from_piece").select("run", "place", "key", "length").join(side(2, "slots", "from_slot").select("run", "place", "seq"), ["run", "place"])
+    placed = materialize(swept.where("what = 0").select("key", "length", "seq").union(met.select("key", "length", "seq")), "placed")
+    rest = left.where("what = 1").select("key", "length").join(placed.select("key"), "key", "left_anti")
+    rest = materialize(rest, "left")
+    release(swept)
+    return placed, rest
 
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Give each piece its sequence and offset. ``pieces`` must be a written table: it is read twice."""
-    held = pieces.groupBy("length", "pid").agg((F.max("local_rank") + 1).alias("n"))
-    held = materialize(held, "length-counts")
-    before = held.select("length", "pid", (F.sum("n").over(Window.partitionBy("length").orderBy("pid")) - F.col("n")).alias("before"))
-    counts = {r.length: r.n for r in held.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    plan = {length: np.array(runs, np.int64).reshape(-1, 4) for length, runs in best_fit_plan(counts, capacity).items()}
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
-            seq, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
-            for n in np.unique(length):
-                at, runs = np.flatnonzero(length == n), plan[int(n)]
-                run = runs[np.searchsorted(runs[:, 0], rank[at], side="right") - 1]
-                in_run = rank[at] - run[:, 0]
-                seq[at] = run[:, 1] + in_run // run[:, 2]
-                offset[at] = run[:, 3] + in_run % run[:, 2] * n
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(seq), pa.array(offset)], [*batch.schema.names[:5], "sequence_id", "offset"])
-
-    ranked = pieces.join(before.hint("merge"), ["length", "pid"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("local_rank")).alias("rank"))
-    return ranked.mapInArrow(assign, PLACED)
+    """Give each piece its sequence and offset. ``pieces`` must be a written table: it is read several times."""
+    spark = pieces.sparkSession
+    chosen = seeds(pieces, capacity)
+    # A sequence is named by the piece that opened it; later ones count down from -1.
+    done = [chosen.where("seed").select("key", F.col("key").alias("seq"), F.lit(0).alias("round"))]
+    gaps = chosen.where("seed").select(F.col("key").alias("seq"), (capacity - F.col("length")).alias("gap"))
+    gaps = materialize(gaps.where("gap > 0"), "gaps")
+    free, opened = materialize(chosen.where("not seed").select("key", "length"), "free"), 0
+    while True:
+        size = free.agg(F.count("*").alias("n"), F.min("length").alias("least"), F.max("length").alias("most")).first()
+        if not size.n:
+            break
+        largest = gaps.agg(F.max("gap")).first()[0] or 0
+        if size.most > largest:
+            more = -(-free.where(F.col("length") > largest).agg(F.sum("length")).first()[0] // capacity)
+            gaps = gaps.union(spark.range(opened + 1, opened + more + 1).select((-F.col("id")).alias("seq"), F.lit(capacity).cast("long").alias("gap")))
+            opened += more
+        usable = gaps.where(F.col("gap") >= size.least)
+        offered = max(1, size.n // max(1, usable.count()))
+        placed, rest = sweep_round(free, usable, offered, size.most)
+        taken = placed.groupBy("seq").agg(F.sum("length").alias("taken"))
+        now = gaps.join(taken, "seq", "left").select("seq", (F.col("gap") - F.coalesce("taken", F.lit(0))).alias("gap")).where("gap > 0")
+        gaps = materialize(now, "gaps")
+        release(free)
+        free = rest
+        done.append(placed.select("key", "seq", F.lit(len(done)).alias("round")))
+    places = done[0]
+    for more in done[1:]:
+        places = places.union(more)
+    met = pieces.join(places.hint("merge"), "key")
+    offset = F.sum("length").over(Window.partitionBy("seq").orderBy("round", "key")) - F.col("length")
+    return met.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("seq").alias("sequence_id"), offset.alias("offset"))
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

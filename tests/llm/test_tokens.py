@@ -91,26 +91,48 @@ def test_packing(spark, plain, capacity):
     assert packing.pack(fixtures.frame(spark, [])).count() == 0
 
 
-def test_plan_is_best_fit_decreasing():
+def test_leftovers_meet_as_one_sweep(spark):
     rng = random.Random(3)
-    for _ in range(60):
-        cap = rng.choice([10, 64, 100])
-        counts = {n: rng.randrange(1, 30) for n in rng.sample(range(1, cap + 1), rng.randrange(1, 9))}
-        gaps: list[int] = []
-        for n in sorted(counts, reverse=True):
-            for _ in range(counts[n]):
-                fit = min((g for g in gaps if g >= n), default=None)
-                if fit is None:
-                    gaps.append(cap - n)
+    for _ in range(200):
+        rows = sorted((rng.randrange(50), rng.randrange(2)) for _ in range(rng.randrange(60)))
+        cuts = sorted(rng.randrange(len(rows) + 1) for _ in range(3))
+        stack, want = [], []
+        for i, (_, kind) in enumerate(rows):
+            if kind == 0:
+                stack.append(i)
+            elif stack:
+                want.append((stack.pop(), i))
+        got, counts, left = [], {}, {}
+        for part, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(rows)])):
+            stack, alone = [], []
+            for i in range(lo, hi):
+                if rows[i][1] == 0:
+                    stack.append(i)
+                elif stack:
+                    got.append((stack.pop(), i))
                 else:
-                    gaps[gaps.index(fit)] -= n
-        plan = packing.best_fit_plan(counts, cap)
-        used: dict[int, int] = {}
-        for n, runs in plan.items():
-            for (r, first, each, _), nxt in zip(runs, [*runs[1:], (counts[n], 0, 0, 0)]):
-                for k in range(nxt[0] - r):
-                    used[first + k // each] = used.get(first + k // each, 0) + n
-        assert sorted(cap - u for u in used.values()) == sorted(gaps)
+                    alone.append(i)
+            left[part, 1], left[part, 2] = stack[::-1], alone
+        counts = {k: len(v) for k, v in left.items() if v}
+        for slots, a, pieces, b, n in packing._meet(counts):
+            got += [(left[pieces, 1][b + i], left[slots, 2][a + i]) for i in range(n)]
+        assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("capacity,lengths", [(100, [100] * 7), (100, [1] * 950), (64, [33] * 20 + [31] * 20), (2048, None), (10, [])])
+def test_places_of_lengths(spark, capacity, lengths):
+    rng = random.Random(8)
+    lengths = [min(capacity, int(rng.paretovariate(0.7) * 20)) for _ in range(1500)] if lengths is None else lengths
+    pieces = spark.createDataFrame([(i, 0, 0, n, 7, (i % 3) << 40 | i) for i, n in enumerate(lengths)], packing.PIECES)
+    rows = packing.place(pieces, capacity).collect()
+    assert sorted((r.doc_id, r.length) for r in rows) == list(enumerate(lengths))
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for at in by.values():
+        at.sort()
+        assert [o for o, _ in at] == [sum(n for _, n in at[:k]) for k in range(len(at))] and sum(n for _, n in at) <= capacity
+    assert len(by) <= 1.02 * max(-(-sum(lengths) // capacity), sum(2 * n > capacity for n in lengths)) + 1
 
 
 def test_media_round_trip(spark):
