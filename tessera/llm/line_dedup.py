@@ -159,7 +159,7 @@ def _edges(docs: DataFrame, key: Column, batches: int) -> list[int]:
     return sorted(set(found or []))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = 6, fanout: int = 4, counts: tuple[str, str] | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = 5, fanout: int = 4, counts: tuple[str, str] | None = None) -> DataFrame:
     """Deduplicate a whole table: its batches enter the runs from the highest ids down."""
     spark = docs.sparkSession
     edges = _edges(docs, F.col(f"`{id_col}`").cast("long"), batches)
