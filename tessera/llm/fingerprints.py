@@ -7,9 +7,16 @@ count and the exclusive-or of its digests. Two versions' sketches of one size
 subtract cell by cell, which leaves the digests that only one version has. A
 cell whose count is 1 or -1 and whose check holds is a single digest: it is
 taken out of its other two cells, which may leave single digests there.
-Peeling goes on until nothing is left. Where something is left, the sketches
-were too small, or hashed unluckily: both are made again, larger and with
-another hash.
+Peeling goes on until nothing is left; the digests taken out are what differs,
+and :func:`differences` gives them. Where something is left, the sketches were
+too small, or hashed unluckily: both are made again, larger and with another
+hash. After ``MAX_LEVEL`` such sizes the digests themselves are compared.
+
+The fingerprint is the sketch of the text at its least size, ``BASE`` cells a
+table, written out; :func:`likeness` subtracts and peels two of these, and
+gives None where they differ too much for their size. A comparison starts from
+sketches that hold all digests of both texts if need be: an edit of half a
+text differs in about as many as the text has.
 
 Only DataFrame functions are used. Pieces are exploded next to the text and
 cells aggregated there: once a text and its neighbour have met, all rounds of
@@ -19,11 +26,13 @@ Defined results: a null text is empty. Two texts without pieces have likeness
 1, one with pieces and one without 0. A row without doc_id stands below every
 id. Rows that share a doc_id are one document for their neighbour, which sees
 the least of their texts; each row is compared for itself. An empty table gives
-no rows.
+no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -122,21 +131,23 @@ def _sum(cells: DataFrame) -> DataFrame:
 def _peel(cells: DataFrame, level: int, rounds: int = ROUNDS) -> DataFrame:
     """Take single digests out, one table at a time, so that each is found once a round.
 
-    Cells -1 and -2 count the digests found in the text only and in the other only.
+    What is taken out are rows of its own: what 5 for a digest of the text that
+    its edit lacks, 6 for one that only the edit has, 7 and 8 likewise for the
+    next document; the cell is the digest.
     """
     for r in range(rounds):
         t = r % 3
-        x, n, size = F.col("x"), F.col("n"), F.col("size")
-        single = F.col("what").isin(2, 3) & (F.col("cell") >= 0) & (F.col("cell") % 3 == t) & (F.abs(n) == 1)
+        x, n, size, what = F.col("x"), F.col("n"), F.col("size"), F.col("what")
+        single = what.isin(2, 3) & (F.col("cell") % 3 == t) & (F.abs(n) == 1)
         single = F.when(single, _checked(x) & (_place(x, t, size, level) == F.col("cell"))).otherwise(False)
 
-        def row(cell: Column, n: Column, x: Column) -> Column:
-            return F.struct(cell.cast("long").alias("cell"), n.cast("long").alias("n"), x.alias("x"))
+        def row(what: Column, cell: Column, n: Column, x: Column) -> Column:
+            return F.struct(what.cast("int").alias("what"), cell.cast("long").alias("cell"), n.cast("long").alias("n"), x.cast("long").alias("x"))
 
-        others = [row(_place(x, o, size, level), -n, x) for o in range(3) if o != t]
-        found = row(F.when(n > 0, -1).otherwise(-2), F.lit(1), F.lit(0).cast("long"))
-        moved = F.when(single, F.array(*others, found)).otherwise(F.array(row(F.col("cell"), n, x)))
-        cells = _sum(cells.select("k", "th", "size", "what", F.inline(moved)))
+        others = [row(what, _place(x, o, size, level), -n, x) for o in range(3) if o != t]
+        found = row(2 * what + F.when(n > 0, 1).otherwise(2), x, F.lit(1), F.lit(0))
+        moved = F.when(single, F.array(*others, found)).otherwise(F.array(row(what, F.col("cell"), n, x)))
+        cells = _sum(cells.select("k", "th", "size", F.inline(moved)))
     return cells
 
 
@@ -146,31 +157,108 @@ def _compare(rows: DataFrame, level: int) -> DataFrame:
     what, cell, n, x = F.col("what"), F.col("cell"), F.col("n"), F.col("x")
 
     def fp(i: int) -> Column:
-        halves = [F.bit_xor(F.when(what == i, F.xxhash64(F.lit(s), cell, n, x))) for s in (0, 1)]
-        return F.lower(F.concat(*[F.lpad(F.hex(F.coalesce(h, F.lit(0).cast("long"))), 16, "0") for h in halves]))
+        """The cells in order: two hexadecimal digits for the place, eight for the count, 16 for the digests."""
+        cells = F.sort_array(F.collect_list(F.when(what == i, F.struct(cell, n, x))))
+        digits = [("cell", 2), ("n", 8), ("x", 16)]
+        return F.lower(F.array_join(F.transform(cells, lambda c: F.concat(*[F.lpad(F.hex(c[f]), w, "0") for f, w in digits])), ""))
 
     def fact(i: int) -> Column:
         return F.max(F.when((what == 4) & (cell == i), x))
 
     def differ(i: int) -> Column:
-        return F.coalesce(F.sum(F.when((what == i) & (cell < 0), n)), F.lit(0).cast("long"))
-
-    def likeness(a: str, b: str, d: str) -> Column:
-        common = (F.col(a) + F.col(b) - F.col(d)) / 2
-        whole = F.col(a) + F.col(b) - common
-        return F.when(whole == 0, 1.0).otherwise(common / whole)
+        return F.count(F.when(what.isin(2 * i + 1, 2 * i + 2), 1))
 
     aggs = [fp(0).alias("fingerprint"), fp(1).alias("edited_fingerprint"), differ(2).alias("d_edit"), differ(3).alias("d_next")]
     aggs += [fact(i).alias(f) for i, f in enumerate(["rows", "n_chars", "s0", "s1", "s2", "s3", "n_own", "n_edit", "n_next"])]
-    left = F.max(F.col("what").isin(2, 3) & (cell >= 0))
+    left = F.max(what.isin(2, 3))
     out = peeled.groupBy("k", "th").agg(*aggs, left.alias("left"))
     sha = F.lower(F.concat(*[F.lpad(F.hex(f"s{i}"), 16, "0") for i in range(4)]))
     return out.select(
         "k", "th", "rows", "left", "n_chars", sha.alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        likeness("n_own", "n_edit", "d_edit").alias("near_edited"), likeness("n_own", "n_next", "d_next").alias("near_next"),
+        _alike(F.col("n_own"), F.col("n_edit"), F.col("d_edit")).alias("near_edited"), _alike(F.col("n_own"), F.col("n_next"), F.col("d_next")).alias("near_next"),
     )
 
 
+def _alike(a: Column, b: Column, differ: Column) -> Column:
+    """The share of common digests among all, from the numbers of both and of those that differ."""
+    common = (a + b - differ) / 2
+    whole = a + b - common
+    return F.when(whole == 0, 1.0).otherwise(common / whole)
+
+
+def _exactly(rows: DataFrame) -> DataFrame:
+    """(k, th, near_edited, near_next) from the digests themselves."""
+
+    def alike(other: str) -> Column:
+        differ = F.size(F.array_except("own", other)) + F.size(F.array_except(other, "own"))
+        return _alike(F.size("own"), F.size(other), differ)
+
+    return rows.select("k", "th", alike("edit").alias("near_edited"), alike("next").alias("near_next"))
+
+
+def differences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: int = 0) -> DataFrame:
+    """(doc_id, against, side, digest): what peeling recovers of each text against its ``edit`` and against the ``next`` document.
+
+    ``side`` is ``own`` for a digest that only the text has, else ``other``.
+    Documents with a comparison that does not peel at this level have no rows.
+    """
+    docs = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LOWEST)).alias("k"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
+    pairs, repeats = neighbours(docs)
+    peeled = materialize(_peel(_cells(_rows(docs, pairs, repeats), level), level), "peeled")
+    bad = materialize(peeled.where("what in (2, 3)").select("k", "th").distinct(), "not-peeled")
+    found = peeled.where("what > 4").join(bad, ["k", "th"], "left_anti")
+    what = F.col("what")
+    return found.select(
+        F.when(F.col("k") != _LOWEST, F.col("k")).alias("doc_id"), F.when(what < 7, "edit").otherwise("next").alias("against"),
+        F.when(what % 2 == 1, "own").otherwise("other").alias("side"), F.col("cell").alias("digest"),
+    )
+
+
+def _read(fingerprint: str) -> dict[int, tuple[int, int]]:
+    cells = [fingerprint[i : i + 26] for i in range(0, len(fingerprint), 26)]
+    return {int(c[:2], 16): (int(c[2:10], 16), int(c[10:], 16)) for c in cells}
+
+
+def _places(digest: int) -> list[int]:
+    """The cells of a digest in a fingerprint, as :func:`_place` gives them; none if its check fails."""
+    from xxhash import xxh64_intdigest
+
+    def long(x: int) -> bytes:
+        return x.to_bytes(8, "little")
+
+    high = digest & ~_CHECK
+    if xxh64_intdigest(long(high), 42) & _CHECK != digest & _CHECK:
+        return []
+    h = xxh64_intdigest(long(digest), xxh64_intdigest(bytes(4), 42))
+    return [(h >> 21 * t & BASE - 1) * 3 + t for t in range(3)]
+
+
+def likeness(a: str, b: str) -> float | None:
+    """Of two fingerprints; None if they differ in more digests than they can tell."""
+    x, y = _read(a), _read(b)
+    n, m = (sum(c for at, (c, _) in cells.items() if at % 3 == 0) for cells in (x, y))
+    cells = {}
+    for at in {*x, *y}:
+        (p, u), (q, v) = x.get(at, (0, 0)), y.get(at, (0, 0))
+        cells[at] = [p - q, u ^ v]
+    differ, again = 0, True
+    while again:
+        again = False
+        for at, (count, digest) in list(cells.items()):
+            count, digest = cells[at]
+            places = _places(digest) if abs(count) == 1 else []
+            if at in places:
+                for other in places:
+                    cells.setdefault(other, [0, 0])
+                    cells[other][0] -= count
+                    cells[other][1] ^= digest
+                differ, again = differ + 1, True
+    if any(c != [0, 0] for c in cells.values()):
+        return None
+    common = (n + m - differ) / 2
+    return 1.0 if n + m == 0 else common / (n + m - common)
+
+
 def neighbours(docs: DataFrame) -> tuple[DataFrame, bool]:
     """(k, next_k, n): each id with the next lower one, the lowest with the highest; whether ids repeat.
 
@@ -213,6 +301,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     docs = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LOWEST)).alias("k"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
     pairs, repeats = neighbours(docs)
     pairs = materialize(pairs, "neighbours")
+    near = ["near_edited", "near_next"]
     done, given, wanted = [], docs, pairs
     for level in range(MAX_LEVEL):
         out = _compare(_rows(given, wanted, repeats), level)
@@ -230,11 +319,10 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         needed = wanted.select("k").union(wanted.select(F.col("next_k").alias("k"))).distinct()
         given = docs.join(small(needed), "k", "left_semi")
     else:
-        raise RuntimeError(f"{n} comparisons are not decoded at level {MAX_LEVEL}")
+        exact = _exactly(_rows(given, wanted, repeats)).join(failed.drop(*near), ["k", "th"])
+        done.append(materialize(exact.select(*failed.columns), "exact"))
     release(pairs)
-    result = done[0]
-    for more in done[1:]:
-        result = result.union(more)
+    result = reduce(DataFrame.union, done)
     if repeats:
         result = result.withColumn("rows", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
     key = F.when(F.col("k") != _LOWEST, F.col("k"))

@@ -49,8 +49,35 @@ def check(docs):
         assert g[3:5] == pytest.approx(w[3:5])
         for f, text in ((g[5], w[5]), (g[6], w[6])):
             key = frozenset(digests(text))
-            assert seen.setdefault(key, f) == f and len(f) == 32
+            assert seen.setdefault(key, f) == f and len(f) <= 26 * 24
+        told = fp.likeness(g[5], g[6])
+        assert told is None or told == pytest.approx(w[3])
     assert len(set(seen.values())) == len(seen)
+    # Few digests can always be told apart by the fingerprints alone.
+    assert all(fp.likeness(g[5], g[6]) is not None for g, w in zip(got, want) if len(digests(w[5]) ^ digests(w[6])) <= 4)
+
+
+def test_differing_digests_are_recovered(spark):
+    for docs in (fixtures.small(spark).select("doc_id", "text"), fixtures.frame(spark)):
+        rows = [(r.doc_id, r.text) for r in docs.collect()]
+        got: dict = {}
+        for r in fp.differences(docs).collect():
+            got.setdefault((r.doc_id, r.against, r.side), set()).add(r.digest & MASK)
+        want = {}
+        nexts = {k: v for k, v in zip(sorted((d for d, _ in rows), reverse=True), [*sorted((d for d, _ in rows), reverse=True)[1:], max(d for d, _ in rows)])}
+        texts = {d: t or "" for d, t in rows}
+        for d, *_, t, e in brute(rows):
+            for against, other in (("edit", e), ("next", texts[nexts[d]])):
+                a, b = digests(t), digests(other)
+                want |= {(d, against, side): x for side, x in (("own", a - b), ("other", b - a)) if x}
+        assert all(want[k] == v for k, v in got.items()) and len(got) > 0.9 * len(want)
+
+
+def test_exact_comparison_after_the_last_size(spark, monkeypatch):
+    real = fp._peel
+    monkeypatch.setattr(fp, "MAX_LEVEL", 1)
+    monkeypatch.setattr(fp, "_peel", lambda cells, level, rounds=1: real(cells, level, 1))
+    check(fixtures.small(spark).select("doc_id", "text"))
 
 
 def test_tables(spark):
