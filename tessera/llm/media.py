@@ -7,8 +7,17 @@ every 576 bytes are a frame of 24 by 24 grey samples of 8 bits, and every
 25th frame is listed as a sync sample. ``payload`` gives the bytes back, by
 the sample tables.
 
+``probe`` describes the first video track, or the first track if there is none.
+Of a fragmented file it gives codec and duration, but no samples, as these are
+in the fragments. Tables are not trusted: what would run over its box, or lists
+more samples than the file has bytes, or nests deeper than ``MAX_DEPTH``, is no
+media file.
+
 Defined results: a null or empty text is one frame of padding. Equal texts
-give equal files. A column that holds no media file gives nulls from ``probe``.
+give equal files. Rows without doc_id, and rows that share one, are rows like
+others. What is no media file gives nulls from ``probe``. An empty table gives
+no rows. Columns with the names of the description are replaced by it, all
+others pass through.
 """
 
 from __future__ import annotations
@@ -30,6 +39,7 @@ UNIT = SIDE * SIDE
 RATE = 25
 SYNC_EVERY = 25
 CHUNK = 64
+MAX_DEPTH = 32
 _NESTED = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"dinf", b"udta", b"moof", b"traf", b"mvex"}
 _MATRIX = struct.pack(">9I", 0x10000, 0, 0, 0, 0x10000, 0, 0, 0, 0x40000000)
 
@@ -85,6 +95,8 @@ def wrap(data: bytes) -> bytes:
 def boxes(data: bytes | memoryview, start: int = 0, end: int | None = None, path: tuple[bytes, ...] = ()) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
     """(path, first byte of the body, end) of every box, nested ones after their parent."""
     end = len(data) if end is None else end
+    if len(path) > MAX_DEPTH:
+        raise ValueError("boxes are nested too deep")
     while start + 8 <= end:
         size, kind = struct.unpack_from(">I4s", data, start)
         body = start + 8
@@ -103,14 +115,21 @@ def boxes(data: bytes | memoryview, start: int = 0, end: int | None = None, path
 def tracks(data: bytes) -> list[dict]:
     """Codec, time scale, duration and sample tables of each track."""
     out: list[dict] = []
-    for path, a, _ in boxes(data):
+    for path, a, end in boxes(data):
         kind = path[-1]
+        if path == (b"moof",) and out:
+            out[0]["fragmented"] = True
         if kind == b"trak":
             out.append({"codec": "", "timescale": 0, "duration": 0, "stts": [], "stss": None, "stsc": [], "sizes": (0, 0, None), "chunks": [], "handler": ""})
         if not out or b"trak" not in path:
             continue
         t = out[-1]
-        u32 = lambda at, n=1: struct.unpack_from(f">{n}I", data, at)
+
+        def u32(at: int, n: int = 1) -> tuple[int, ...]:
+            if at + 4 * n > end:
+                raise ValueError("a table runs over its box")
+            return struct.unpack_from(f">{n}I", data, at)
+
         if kind == b"mdhd":
             t["timescale"], t["duration"] = struct.unpack_from(">IQ", data, a + 20) if data[a] == 1 else u32(a + 12, 2)
         elif kind == b"hdlr":
@@ -130,13 +149,34 @@ def tracks(data: bytes) -> list[dict]:
         elif kind == b"stsz":
             each, n = u32(a + 4, 2)
             t["sizes"] = (each, n, None if each else u32(a + 12, n))
+        elif kind == b"stz2":
+            width, n = data[a + 7], u32(a + 8)[0]
+            if width not in (4, 8, 16) or a + 12 + (n * width + 7) // 8 > end:
+                raise ValueError("a table runs over its box")
+            body = data[a + 12 : a + 12 + (n * width + 7) // 8]
+            if width == 16:
+                sizes = struct.unpack(f">{n}H", body)
+            else:
+                sizes = tuple(body) if width == 8 else tuple(x for b in body for x in (b >> 4, b & 15))[:n]
+            t["sizes"] = (0, n, sizes)
         elif kind == b"stco":
             t["chunks"] = list(u32(a + 8, u32(a + 4)[0]))
         elif kind == b"co64":
-            t["chunks"] = list(struct.unpack_from(f">{u32(a + 4)[0]}Q", data, a + 8))
+            n = u32(a + 4)[0]
+            v = u32(a + 8, 2 * n)
+            t["chunks"] = [high << 32 | low for high, low in zip(v[::2], v[1::2])]
+    for t in out:
+        if t["sizes"][1] > len(data):
+            raise ValueError("more samples than bytes")
     return out
 
 
+def main_track(data: bytes) -> dict:
+    """The first video track, or the first of any kind."""
+    found = tracks(data)
+    return next((t for t in found if t["handler"] == "vide"), found[0])
+
+
 def samples(track: dict) -> Iterator[tuple[int, int]]:
     """(first byte, size) of every sample, from the tables alone."""
     each, n, sizes = track["sizes"]
@@ -157,18 +197,21 @@ def key_frames(track: dict) -> list[tuple[int, int]]:
 
 
 def payload(data: bytes) -> bytes:
-    """The bytes of all samples of the first track."""
-    return b"".join(data[a : a + n] for a, n in samples(tracks(data)[0]))
+    """The bytes of all samples of the main track."""
+    return b"".join(data[a : a + n] for a, n in samples(main_track(data)))
 
 
 def describe(data: bytes) -> dict:
     """What ``probe`` stores of a file; nulls if it is none."""
     try:
-        t = tracks(data)[0]
+        fragmented = any(t.get("fragmented") for t in tracks(data))
+        t = main_track(data)
         keys = key_frames(t)
+        if any(a + n > len(data) for a, n in keys):
+            raise ValueError("a sample lies outside the file")
     except (ValueError, struct.error, IndexError):
         return {"codec": None, "duration_s": None, "n_samples": None, "key_frames": None}
-    return {"codec": t["codec"], "duration_s": t["duration"] / t["timescale"] if t["timescale"] else None, "n_samples": t["sizes"][1], "key_frames": [{"offset": a, "size": n} for a, n in keys]}
+    return {"codec": t["codec"], "duration_s": t["duration"] / t["timescale"] if t["timescale"] else None, "n_samples": None if fragmented else t["sizes"][1], "key_frames": None if fragmented else [{"offset": a, "size": n} for a, n in keys]}
 
 
 _PROBE = pa.struct([("codec", pa.string()), ("duration_s", pa.float64()), ("n_samples", pa.int64()), ("key_frames", pa.list_(pa.struct([("offset", pa.int64()), ("size", pa.int64())])))])
@@ -195,7 +238,7 @@ def encode_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 raw = [x.as_buffer().to_pybytes() for x in part.column(1).cast(pa.binary())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array([wrap(pad(x)) for x in raw], pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(make, "doc_id long, n_bytes long, media binary")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(F.col(f"`{text_col}`")).alias("text")).mapInArrow(make, "doc_id long, n_bytes long, media binary")
 
 
 FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, codec string, duration_s double, key_frames array<struct<offset:long,size:long>>"

@@ -8,7 +8,7 @@ popcount, so access, count and occurrence lookup touch a few words a plane.
 
 File: 8 bytes magic, 4 bytes header length, a JSON header, then zstd frames at
 the offsets that the header names: document ids, token offsets, and for each
-plane its bits and its directory. A reader can load single planes.
+plane its bits and its directory.
 
 Files are written by the tasks with pyarrow's file systems below the shared
 folder, under a temporary name and then renamed, so that a task that is run
@@ -131,6 +131,7 @@ class WaveletMatrix:
 def pack_shard(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, bits: int, **extra: int) -> bytes:
     import zstandard
 
+    bits = max(bits, int(ids.max()).bit_length()) if len(ids) else bits
     zip_ = zstandard.ZstdCompressor(level=1).compress
     matrix = WaveletMatrix.build(ids, bits)
     parts = [np.array([d or 0 for d in doc_ids], np.int64), np.array([d is None for d in doc_ids], np.uint8), np.array(counts, np.int64)]
@@ -156,8 +157,13 @@ def open_shard(blob: bytes) -> tuple[dict, list[int | None], np.ndarray, Wavelet
     return header, doc_ids, of(frames[2], np.int64), matrix
 
 
+def _uri(folder: str) -> str:
+    """A folder of Spark's as pyarrow names it."""
+    return "s3" + folder[3:] if folder.startswith(("s3a:", "s3n:")) else folder
+
+
 def _put(folder: str, name: str, blob: bytes) -> None:
-    fs, path = pa.fs.FileSystem.from_uri(folder)
+    fs, path = pa.fs.FileSystem.from_uri(_uri(folder))
     part = f"{path}/_{name}-{TaskContext.get().taskAttemptId()}"
     with fs.open_output_stream(part) as f:
         f.write(blob)
@@ -168,7 +174,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     """Write the shards; (partition, tokens) of each range partition, in order."""
     import pyarrow.fs
 
-    fs, path = pyarrow.fs.FileSystem.from_uri(folder)
+    fs, path = pyarrow.fs.FileSystem.from_uri(_uri(folder))
     fs.create_dir(path, recursive=True)
     end = np.array([end_id], np.uint32)
 
@@ -200,7 +206,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
         settle()
         yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([base], pa.int64())], ["pid", "n_tokens"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
     parts = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(write, "pid int, n_tokens long")
     with small_batches(docs.sparkSession):
         return sorted((r.pid, r.n_tokens) for r in parts.collect())
