@@ -43,7 +43,7 @@ PIECE = r"[^\n.!?]{1,64}[.!?]*|[.!?]+"
 #: Cells of one table of the fingerprint itself, and the least for a comparison.
 BASE = 8
 LEAST = 64
-ROUNDS = 12
+ROUNDS = 9
 MAX_LEVEL = 8
 #: Ids up to this many are broadcast when failed comparisons are made again.
 BROADCAST_ROWS = 200_000
