@@ -10,8 +10,11 @@ of the landmarks, times the weights.
 
 N-grams are hashed to ``DIM`` places. The model is fitted on at most
 ``SAMPLE`` labelled texts of each language, whole texts chosen by a hash of
-their ids; only their presence bits, DIM / 8 bytes a text, reach the driver.
-Everything else goes over all rows, and nothing is shuffled.
+their ids; only their presence bits, DIM / 8 bytes a text, reach the driver,
+where they are unpacked ``BATCH`` at a time. There are ``LANDMARKS`` landmarks a
+language and ``MAX_LANDMARKS`` in all, fewer a language where languages are
+many, so the model has 20 MB at most. Everything else goes over all rows, and
+nothing is shuffled.
 
 A score of a half is the border of the known languages. The sample is also
 scored in folds, each by a model of the others. A text's best value has to
@@ -31,6 +34,7 @@ others pass through.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +50,8 @@ DIM = 1 << 13
 #: Bounds of the fitting sample and of the landmarks, for each language.
 SAMPLE = 400
 LANDMARKS = 48
+#: Landmarks of all languages; the root matrix is of this size squared.
+MAX_LANDMARKS = 2048
 RIDGE = 0.3
 #: Parts of the sample that are scored by a model of the others, and the share of their texts that bounds do not heed.
 FOLDS = 4
@@ -94,65 +100,79 @@ def presence(texts: list[str]) -> np.ndarray:
     return out
 
 
+def _floats(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Presence as floats, from bits, and the root of each row's count."""
+    x = np.unpackbits(packed, axis=1).astype(np.float32)
+    return x, np.sqrt(np.maximum(x.sum(axis=1), 1))
+
+
 @dataclass
 class Model:
-    """Landmark presence (landmarks x DIM, over their roots), their root (landmarks x features) and weights (landmarks x languages).
+    """Landmark presence (landmarks x DIM bits), their root (landmarks x features) and weights (landmarks x languages).
 
     ``floor`` and ``reach`` are what the best value and the explained share of a text in a known language reach.
     """
 
     langs: list[str]
-    marks: np.ndarray
+    landmarks: np.ndarray
     root: np.ndarray
     weights: np.ndarray
     floor: float = 0.0
     reach: float = 0.0
 
-    def kernel(self, bits: np.ndarray) -> np.ndarray:
-        x = bits.astype(np.float32)
-        return (x @ self.marks.T) / np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
+    @cached_property
+    def marks(self) -> np.ndarray:
+        x, roots = _floats(self.landmarks)
+        return x / roots[:, None]
+
+    def kernel(self, packed: np.ndarray) -> np.ndarray:
+        x, roots = _floats(packed)
+        return (x @ self.marks.T) / roots[:, None]
 
-    def look(self, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def look(self, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values (texts x languages) and the explained share of each text."""
-        k = self.kernel(bits)
+        k = self.kernel(packed)
         return k @ self.weights, np.square(k @ self.root).sum(axis=1)
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The best language of each text by its place, and its score."""
-        values, share = self.look(presence(texts))
+        values, share = self.look(np.packbits(presence(texts), axis=1))
         score = np.clip((values.max(axis=1) - self.floor + 1) / 2, 0, 1)
         far = share < self.reach
         score[far] = np.minimum(score[far], share[far] / self.reach / 2)
         return values.argmax(axis=1), score
 
 
-def fit(bits: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Nystroem features of the sample on its landmarks, then ridge regression of +1 and -1."""
+def fit(packed: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """Nystroem features of the sample on its landmarks, then ridge regression of +1 and -1; the sums go batch by batch."""
     names = sorted(set(langs))
     y = np.array([names.index(x) for x in langs])
-    marked = np.concatenate([np.flatnonzero(y == k)[:landmarks] for k in range(len(names))])
-    x = bits.astype(np.float32)
-    roots = np.sqrt(np.maximum(x.sum(axis=1), 1))
-    x /= roots[:, None]
-    marks = x[marked]
-    values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
+    each = max(1, min(landmarks, MAX_LANDMARKS // len(names)))
+    marked = np.concatenate([np.flatnonzero(y == k)[:each] for k in range(len(names))])
+    model = Model(names, packed[marked], np.empty(0), np.empty(0))
+    values, vectors = np.linalg.eigh((model.marks @ model.marks.T).astype(np.float64))
     good = values > 1e-6 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])
-    features = (x @ marks.T).astype(np.float64) @ root
     signs = np.where(y[:, None] == np.arange(len(names)), 1.0, -1.0)
-    w = np.linalg.solve(features.T @ features + ridge * np.eye(features.shape[1]), features.T @ signs)
-    return Model(names, marks, root.astype(np.float32), (root @ w).astype(np.float32))
+    inner, outer = ridge * np.eye(root.shape[1]), np.zeros((root.shape[1], len(names)))
+    for a in range(0, len(packed), BATCH):
+        features = model.kernel(packed[a : a + BATCH]).astype(np.float64) @ root
+        inner += features.T @ features
+        outer += features.T @ signs[a : a + BATCH]
+    return Model(names, model.landmarks, root.astype(np.float32), (root @ np.linalg.solve(inner, outer)).astype(np.float32))
 
 
-def fit_bounded(bits: np.ndarray, langs: list[str]) -> Model:
+def fit_bounded(packed: np.ndarray, langs: list[str]) -> Model:
     """The model of all rows, its bounds from rows that were not learnt from."""
-    model = fit(bits, langs)
+    model = fit(packed, langs)
     fold = np.arange(len(langs)) % FOLDS
     best, share = [], []
     for k in range(FOLDS if len(langs) >= FOLDS else 0):
-        values, shares = fit(bits[fold != k], [x for x, f in zip(langs, fold) if f != k]).look(bits[fold == k])
-        best.append(values.max(axis=1))
-        share.append(shares)
+        part, others = packed[fold == k], fit(packed[fold != k], [x for x, f in zip(langs, fold) if f != k])
+        for a in range(0, len(part), BATCH):
+            values, shares = others.look(part[a : a + BATCH])
+            best.append(values.max(axis=1))
+            share.append(shares)
     if best:
         model.floor = max(0.0, float(np.quantile(np.concatenate(best), STRAYS)) / 2)
         model.reach = float(np.quantile(np.concatenate(share), STRAYS)) / 2
@@ -166,11 +186,11 @@ def held_out(doc_id: Column) -> Column:
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, max_langs: int = 400) -> Model | None:
     """Fit on at most ``sample`` rows of each language; None if there are none."""
     rows = labelled.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where("id is not null and text is not null and lang is not null")
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(max_langs + 1).collect()}
     if not counts:
         return None
     if len(counts) > max_langs:
-        raise ValueError(f"{len(counts)} languages; raise max_langs if this is meant")
+        raise ValueError(f"over {max_langs} languages; raise max_langs if this is meant")
     # A share of each language by hash, a little over the bound, cut to it below.
     top = 1 << 31
     limit = F.create_map(*[F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(top, int(top * (1.5 * sample + 20) / n)))])
@@ -195,7 +215,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             kept.append(r)
     if not kept:
         return None
-    return fit_bounded(np.unpackbits(np.frombuffer(b"".join(bytes(r.bits) for r in kept), np.uint8)).reshape(len(kept), DIM), [r.lang for r in kept])
+    return fit_bounded(np.frombuffer(b"".join(bytes(r.bits) for r in kept), np.uint8).reshape(len(kept), DIM // 8), [r.lang for r in kept])
 
 
 def predict(text: Column, model: Model | None) -> Column:

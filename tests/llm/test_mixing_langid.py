@@ -118,6 +118,35 @@ def test_presence_against_sets():
             assert len(grams) * 0.9 - 1 <= row.sum() <= len(grams)
 
 
+@pytest.mark.parametrize("marks", [6, 2048])
+def test_kernel_and_ridge_against_plain_sums(monkeypatch, marks):
+    monkeypatch.setattr(langid, "MAX_LANDMARKS", marks)
+    monkeypatch.setattr(langid, "BATCH", 7)
+    rng = random.Random(1)
+    letters = {"aa": "abcdefgh", "bb": "ghijklmn", "cc": "mnopqrsa"}
+    langs = [x for x in letters for _ in range(11)]
+    texts = ["".join(rng.choice(letters[x] + " ") for _ in range(60)) for x in langs]
+    seen = ["".join(rng.choice("abcdefghijklmnopqrs ") for _ in range(60)) for _ in range(9)]
+    model = langid.fit(np.packbits(langid.presence(texts), axis=1), langs, landmarks=4)
+    values, share = model.look(np.packbits(langid.presence(seen), axis=1))
+
+    def places(t):
+        return set(np.flatnonzero(langid.presence([t])[0]).tolist())
+
+    def kernel(xs, ys):
+        return np.array([[len(a & b) / (len(a) * len(b)) ** 0.5 for b in map(places, ys)] for a in map(places, xs)])
+
+    each = min(4, marks // 3)
+    chosen = [t for x in letters for t in [t for t, lang in zip(texts, langs) if lang == x][:each]]
+    assert len(model.landmarks) == len(chosen) == 3 * each
+    own, all_ = kernel(chosen, chosen), kernel(texts, chosen)
+    signs = np.array([[1.0 if lang == x else -1.0 for x in letters] for lang in langs])
+    weights = np.linalg.solve(all_.T @ all_ + langid.RIDGE * own, all_.T @ signs)
+    k = kernel(seen, chosen)
+    assert values == pytest.approx(k @ weights, abs=1e-4)
+    assert share == pytest.approx(np.einsum("ij,ij->i", k, np.linalg.solve(own, k.T).T), abs=1e-4)
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = langid.op3_language_id(spark, "/root/testdata/sf0.01").collect()
