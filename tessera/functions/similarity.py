@@ -7,6 +7,7 @@ from functools import lru_cache
 from math import sqrt
 from os.path import commonprefix
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -88,14 +89,32 @@ def gram_cosine(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([cosine(x or "", y or "") for x, y in zip(a.to_pylist(), b.to_pylist())], pa.float64())
 
 
+def _entries(keys: pa.ListArray, weights: pa.ListArray, usable: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The row, key and weight of each entry in a usable row."""
+    lengths = keys.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(keys)), lengths)
+    kept = usable[rows]
+    return rows[kept], keys.flatten().filter(pa.array(kept)), weights.flatten().to_numpy(zero_copy_only=False)[kept]
+
+
+def dots(keys_a: pa.Array, weights_a: pa.Array, keys_b: pa.Array, weights_b: pa.Array) -> np.ndarray:
+    """Dot products of a batch of pairs: entries of both sides meet by row and key in one sorted lookup."""
+    usable = np.logical_and.reduce([x.is_valid().to_numpy(zero_copy_only=False) for x in (keys_a, weights_a, keys_b, weights_b)])
+    ra, ka, wa = _entries(keys_a, weights_a, usable)
+    rb, kb, wb = _entries(keys_b, weights_b, usable)
+    if not len(ra) or not len(rb):
+        return np.zeros(len(keys_a))
+    codes = pa.concat_arrays([ka, kb]).dictionary_encode()
+    width = len(codes.dictionary)
+    code = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    at_a, at_b = ra * width + code[: len(ra)], rb * width + code[len(ra) :]
+    order = np.argsort(at_b, kind="stable")
+    at_b, wb = at_b[order], wb[order]
+    place = np.minimum(np.searchsorted(at_b, at_a), len(at_b) - 1)
+    return np.bincount(ra, np.where(at_b[place] == at_a, wa * wb[place], 0.0), len(keys_a))
+
+
 @F.arrow_udf(DoubleType())
 def sparse_dot(keys_a: pa.Array, weights_a: pa.Array, keys_b: pa.Array, weights_b: pa.Array) -> pa.Array:
-    """Dot product of vectors given as parallel arrays of keys and weights; 0 where one is null."""
-    out = []
-    for ka, wa, kb, wb in zip(*(x.to_pylist() for x in (keys_a, weights_a, keys_b, weights_b))):
-        if not ka or not kb:
-            out.append(0.0)
-            continue
-        other = dict(zip(kb, wb))
-        out.append(sum(w * other.get(k, 0.0) for k, w in zip(ka, wa)))
-    return pa.array(out, pa.float64())
+    """Dot product of vectors given as parallel arrays of distinct keys and weights; 0 where one is null."""
+    return pa.array(dots(keys_a, weights_a, keys_b, weights_b), pa.float64())

@@ -1,8 +1,8 @@
 """Transliteration to ASCII, for rows that hold a non-Latin character.
 
 With the ``unidecode`` package installed its tables are used. Without it, a
-character is taken in turn by: its compatibility decomposition; the small
-tables below for Cyrillic, Greek and the Indic scripts, which share one order
+character is taken in turn by: the name of a Hangul syllable or a kana, which
+spells it; its compatibility decomposition; the small tables below for Cyrillic, Greek and the Indic scripts, which share one order
 of letters; the Latin part of its Unicode name. What none of these knows is
 left out. That is an approximation, and scripts without an alphabet stay poor.
 """
@@ -31,6 +31,10 @@ def ascii_of(c: str) -> str:
         return c
     if c.lower() != c and len(c.lower()) == 1:
         return ascii_of(c.lower()).capitalize()
+    name = unicodedata.name(c, "")
+    if name.startswith(("HANGUL SYLLABLE ", "HIRAGANA LETTER ", "KATAKANA LETTER ")):
+        # Their names spell them; a decomposition would lose the vowel or the voicing.
+        return name.split(" ")[-1].lower()
     plain = "".join(x for x in unicodedata.normalize("NFKD", c) if ord(x) < 128)
     if plain:
         return plain
@@ -55,8 +59,7 @@ def ascii_of(c: str) -> str:
     if c.isspace():
         return " "
     if unicodedata.category(c) == "Sc":
-        return unicodedata.name(c, "").split(" ")[0][:3]
-    name = unicodedata.name(c, "")
+        return name.split(" ")[0][:3]
     for word in (" LETTER ", " SYLLABLE "):
         if word in name:
             part = name.split(word)[1].split(" ")[-1].lower()

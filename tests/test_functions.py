@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -128,3 +129,30 @@ def test_acronyms_and_abbreviations_against_patterns(spark):
         t = rows[r.i][1]
         assert r.a == acronym.sub(lambda m: m.group(0).replace(".", ""), t)
         assert r.e == short.sub(full, t)
+
+
+def test_hangul_and_kana_are_spelt():
+    assert [translit.ascii_of(c) for c in "한국어かガさザ"] == ["han", "gug", "eo", "ka", "ga", "sa", "za"]
+    assert translit.ascii_of("й") == "i" and translit.ascii_of("é") == "e"
+
+
+def test_batched_dots_against_dicts():
+    rng = random.Random(4)
+
+    def vector():
+        if rng.random() < 0.2:
+            return None, None
+        keys = rng.sample("abcdefgh", rng.randint(0, 6))
+        return keys, [rng.random() for _ in keys]
+
+    rows = [(*vector(), *vector()) for _ in range(300)]
+    arrays = [pa.array(list(x), pa.list_(t)) for x, t in zip(zip(*rows), [pa.string(), pa.float64()] * 2)]
+
+    def plain(ka, wa, kb, wb):
+        return sum(w * dict(zip(kb, wb)).get(k, 0.0) for k, w in zip(ka, wa)) if ka and kb else 0.0
+
+    for part in (slice(0, 300), slice(50, 90), slice(0, 0)):
+        got = similarity.dots(*[x[part] for x in arrays])
+        assert got.tolist() == pytest.approx([plain(*r) for r in rows[part]])
+    nothing = [pa.array([None, []], x.type) for x in arrays]
+    assert similarity.dots(*nothing).tolist() == [0.0, 0.0]
