@@ -13,7 +13,7 @@ N-grams are hashed to ``DIM`` places. The model is fitted on at most
 their ids; only their presence bits, DIM / 8 bytes a text, reach the driver,
 where they are unpacked ``BATCH`` at a time. There are ``LANDMARKS`` landmarks a
 language and ``MAX_LANDMARKS`` in all, fewer a language where languages are
-many, so the model has 20 MB at most. Everything else goes over all rows, and
+many, so the model that is sent has some 22 MB at most. Everything else goes over all rows, and
 nothing is shuffled.
 
 A score of a half is the border of the known languages. The sample is also
