@@ -7,6 +7,7 @@ from tessera.plans import queries
 
 NAMES = [
     "best_threshold",
+    "blocking_recall",
 ]
 
 
