@@ -8,6 +8,7 @@ from tessera.plans import queries
 NAMES = [
     "best_threshold",
     "blocking_recall",
+    "candidate_counts",
 ]
 
 
