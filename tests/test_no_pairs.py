@@ -9,6 +9,7 @@ NAMES = [
     "best_threshold",
     "blocking_recall",
     "candidate_counts",
+    "candidates_wide",
 ]
 
 
