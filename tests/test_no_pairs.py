@@ -10,6 +10,7 @@ NAMES = [
     "blocking_recall",
     "candidate_counts",
     "candidates_wide",
+    "dedupe_union",
 ]
 
 
