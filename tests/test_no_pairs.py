@@ -11,6 +11,7 @@ NAMES = [
     "candidate_counts",
     "candidates_wide",
     "dedupe_union",
+    "label_counts",
 ]
 
 
