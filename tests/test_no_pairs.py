@@ -12,6 +12,7 @@ NAMES = [
     "candidates_wide",
     "dedupe_union",
     "label_counts",
+    "flag_features",
 ]
 
 
