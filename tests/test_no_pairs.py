@@ -13,6 +13,7 @@ NAMES = [
     "dedupe_union",
     "label_counts",
     "flag_features",
+    "macro_f05",
 ]
 
 
