@@ -14,6 +14,7 @@ NAMES = [
     "label_counts",
     "flag_features",
     "macro_f05",
+    "label_join",
 ]
 
 
