@@ -15,6 +15,7 @@ NAMES = [
     "flag_features",
     "macro_f05",
     "label_join",
+    "match_lists",
 ]
 
 
