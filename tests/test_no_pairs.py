@@ -16,6 +16,7 @@ NAMES = [
     "macro_f05",
     "label_join",
     "match_lists",
+    "needed_entities",
 ]
 
 
