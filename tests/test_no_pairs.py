@@ -17,6 +17,7 @@ NAMES = [
     "label_join",
     "match_lists",
     "needed_entities",
+    "name_cosine",
 ]
 
 
