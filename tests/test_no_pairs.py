@@ -18,6 +18,7 @@ NAMES = [
     "match_lists",
     "needed_entities",
     "name_cosine",
+    "name_jaccard",
 ]
 
 
