@@ -19,6 +19,7 @@ NAMES = [
     "needed_entities",
     "name_cosine",
     "name_jaccard",
+    "quick_ratio",
 ]
 
 
