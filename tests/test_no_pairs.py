@@ -20,6 +20,7 @@ NAMES = [
     "name_cosine",
     "name_jaccard",
     "quick_ratio",
+    "seq_ratio",
 ]
 
 
