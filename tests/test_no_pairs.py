@@ -21,6 +21,7 @@ NAMES = [
     "name_jaccard",
     "quick_ratio",
     "seq_ratio",
+    "tfidf_idf",
 ]
 
 
