@@ -22,6 +22,7 @@ NAMES = [
     "quick_ratio",
     "seq_ratio",
     "tfidf_idf",
+    "threshold_sweep",
 ]
 
 
