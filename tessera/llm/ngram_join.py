@@ -481,7 +481,7 @@ def jaccard_components(docs: DataFrame, join: Join | None = None, id_col: str =
     own = members.where("n > 0").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("doc_id", "a")
     own = materialize(own, "several")
     if not own.isEmpty():
-        links = links.union(members.where("n > 0").join(own, "doc_id").where("a <> node").select("a", F.col("node").alias("b")))
+        links = links.union(materialize(members.where("n > 0").join(own, "doc_id").where("a <> node").select("a", F.col("node").alias("b")), "own-links"))
     roots = components(links)
     # By class, so that the copies of a class are summed up before they move.
     least = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
