@@ -50,3 +50,12 @@ def test_feature_rows_against_joins(spark, sides):
     assert got.keys() == want.keys() and all(got[p] == pytest.approx(want[p]) for p in got)
     twice = e.union(e.limit(1))
     assert features.feature_rows(pairs, twice).count() == features._joined_rows(pairs, twice, None, None).count()
+
+
+def test_feature_rows_carry_no_token_arrays(spark, sides, monkeypatch):
+    def refuse(*args):
+        raise AssertionError("tokens of both sides in every pair")
+
+    monkeypatch.setattr(features, "lookup", refuse)
+    e, pairs = sides
+    assert features.feature_rows(pairs, e).columns == ["source1_entity_id", "candidate_entity_id", *features.FEATURES]
