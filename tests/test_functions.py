@@ -156,3 +156,10 @@ def test_batched_dots_against_dicts():
         assert got.tolist() == pytest.approx([plain(*r) for r in rows[part]])
     nothing = [pa.array([None, []], x.type) for x in arrays]
     assert similarity.dots(*nothing).tolist() == [0.0, 0.0]
+
+
+def test_lcs_of_long_texts():
+    deal, most = random.Random(5), similarity.SHORT
+    for n, m in ((most - 1, 40), (most, 60), (most + 300, most + 100)):
+        a, b = ("".join(deal.choices("abc é\U0001f600\ud800", k=k)) for k in (n, m))
+        assert similarity.lcs_length(a, b) == similarity.lcs_length(b, a) == lcs(a, b)

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import features
 from tests.test_operators import CLEAN
@@ -59,3 +60,37 @@ def test_feature_rows_carry_no_token_arrays(spark, sides, monkeypatch):
     monkeypatch.setattr(features, "lookup", refuse)
     e, pairs = sides
     assert features.feature_rows(pairs, e).columns == ["source1_entity_id", "candidate_entity_id", *features.FEATURES]
+
+
+def test_ratios_move_texts_in_rounds(spark, sides, monkeypatch):
+    monkeypatch.setattr(features, "HELD_WHOLE", 2)
+    monkeypatch.setattr(features, "LEAST_ROUND", 1)
+    e, pairs = sides
+    e = e.withColumn("country_clean", F.when(F.col("country_clean") != "", F.col("country_clean")))  # a null country is one, too
+    moved, whole = [], features._met_texts
+
+    def counted(met, entities, *rest):
+        sides = [met.select("tile", c) for c in ("source1_entity_id", "candidate_entity_id")]
+        moved.append((sides[0].union(sides[1]).distinct().count(), met.select("tile").distinct().count()))
+        return whole(met, entities, *rest)
+
+    monkeypatch.setattr(features, "_met_texts", counted)
+    cols = ("address_token_jaccard", "address_seq_ratio")
+    got, want = by_pair(features.address_features(pairs, e, True), *cols), by_pair(features._joined_rows(pairs, e, None, None), *cols)
+    assert got.keys() == want.keys() and all(got[p] == pytest.approx(want[p]) for p in got)
+    assert len(moved) > 1 and all(n <= 60 for n, tiles in moved if tiles > 1)
+    assert any(r._country != r._there for r in _dealt(pairs, e))
+
+
+def _dealt(pairs, e):
+    country = e.select("entity_id", F.coalesce("country_clean", F.lit("")).alias("c"))
+    left, right = (country.toDF(key, name) for key, name in (("source1_entity_id", "_country"), ("candidate_entity_id", "_there")))
+    return pairs.join(left, "source1_entity_id").join(right, "candidate_entity_id").collect()
+
+
+def test_rounds_hold_no_more_than_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(features, "LEAST_ROUND", 1)
+    met = spark.createDataFrame([("us", f"{t}:us", f"a{t}", f"b{i}", "fr" if t == 5 else "us") for t in range(6) for i in range(9)], "_country string, tile string, source1_entity_id string, candidate_entity_id string, _there string")
+    assert features.rounds(met, 25) == [(["0:us", "1:us"], ["us"]), (["2:us", "3:us"], ["us"]), (["4:us", "5:us"], ["fr", "us"])]
+    assert [len(tiles) for tiles, _ in features.rounds(met, 5)] == [1] * 6
+    assert features.rounds(met.limit(0), 5) == []
