@@ -56,6 +56,7 @@ FOUND = {
     "blocking_topk": lambda rows: [r[:2] for r in rows] == [("d1000", "d1306")],
     "candidate_counts": lambda rows: rows == [(1, 1)],
     "label_counts": lambda rows: rows == [(0, 1, 0.5)],
+    "name_jaccard": lambda rows: rows == [("d1000", "d1306", 0.333333)],
 }
 
 
