@@ -163,3 +163,19 @@ def test_lcs_of_long_texts():
     for n, m in ((most - 1, 40), (most, 60), (most + 300, most + 100)):
         a, b = ("".join(deal.choices("abc é\U0001f600\ud800", k=k)) for k in (n, m))
         assert similarity.lcs_length(a, b) == similarity.lcs_length(b, a) == lcs(a, b)
+
+
+def test_ratios_of_many_texts_go_together(monkeypatch):
+    """Texts of like length share one integer and do not touch each other; near copies, blanks and short ones go alone."""
+    deal, joined, real = random.Random(8), [], similarity._joined_lengths
+    monkeypatch.setattr(similarity, "_joined_lengths", lambda *x: joined.append(len(x[0])) or real(*x))
+    text = lambda n: "".join(deal.choices("abcdeé 😀z", k=n))
+    for n in (1, 40, 300, 1500):
+        b = text(n)
+        texts = ["", b, b[: n // 2] + "y" + b[n // 2 :], "a" * n, text(3 * n), *[text(n) for _ in range(5)], text(n // 9), b * 2]
+        for room in (200_000, 2 * n):
+            monkeypatch.setattr(similarity, "JOINED", room)
+            got = similarity.ratios(texts, b)
+            assert got == [1.0 if not a and not b else 2.0 * lcs(a, b) / (len(a) + len(b)) for a in texts]
+    assert max(joined) > 5
+    assert similarity.ratios(["", "a"], "") == [1.0, 0.0]

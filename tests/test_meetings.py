@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import features
+from tessera.operators import features, meetings
 from tests.test_operators import CLEAN
 
 deal = random.Random(3)
@@ -94,3 +94,25 @@ def test_rounds_hold_no_more_than_all_texts(spark, monkeypatch):
     assert features.rounds(met, 25) == [(["0:us", "1:us"], ["us"]), (["2:us", "3:us"], ["us"]), (["4:us", "5:us"], ["fr", "us"])]
     assert [len(tiles) for tiles, _ in features.rounds(met, 5)] == [1] * 6
     assert features.rounds(met.limit(0), 5) == []
+
+
+def test_records_of_one_name_meet_together(spark, monkeypatch):
+    monkeypatch.setattr(features, "HELD_WHOLE", 3)
+    rows = [*[(f"a{i}", 1, i, "acme", f"acme street {i % 4} north", "us") for i in range(8)], *[(f"b{i}", 1, i, f"other{i}", f"road {i}", "us") for i in range(20)], *[(f"m{i}", 2, i, "acme", "acme street south", "us") for i in range(3)]]
+    e = spark.createDataFrame(rows, CLEAN)
+    pairs = spark.createDataFrame([(s[0], f"m{i}") for s in rows[:28] for i in range(3)], "source1_entity_id string, candidate_entity_id string")
+    seen, real = [], features._met_texts
+    monkeypatch.setattr(features, "_met_texts", lambda met, *x: seen.append(met.select("tile", "source1_entity_id").distinct().collect()) or real(met, *x))
+    out = by_pair(features.address_features(pairs, e, True), "address_seq_ratio")
+    assert len({r.tile for some in seen for r in some if r.source1_entity_id.startswith("a")}) == 1 < len({r.tile for some in seen for r in some})
+    want = by_pair(features._joined_rows(pairs, e, None, None), "address_seq_ratio")
+    assert out == want and len(out) == 84
+
+
+def test_equal_texts_are_compared_once(monkeypatch):
+    asked = []
+    monkeypatch.setattr(meetings, "ratios", lambda texts, b, places: asked.append((tuple(texts), b)) or [0.5] * len(texts))
+    held = meetings._Texts(True)
+    held.add(["a", "b", "c"], ["x y", "x y", "z"])
+    assert held.meet("q", ["a", "b", "c"])[1] == [0.5] * 3 == held.meet("q", ["c", "a", "b"])[1]
+    assert asked[0] == (("x y", "z"), "q") and all(not texts for texts, _ in asked[1:])
